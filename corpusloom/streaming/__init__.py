@@ -1,0 +1 @@
+"""Empty on purpose: every job in scope reads a finished corpus, none is a stream."""

@@ -19,6 +19,9 @@ from checks.queries import all_queries
 from corpusloom.session import get_session
 
 
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for path in sorted(Path(folder).glob("*.parquet")):
@@ -34,6 +37,10 @@ def difference(spark: SparkSession, connection: duckdb.DuckDBPyConnection, folde
     wanted_columns = [c[0] for c in wanted.description]
     if columns != sorted(wanted_columns):
         return f"columns {columns} and {sorted(wanted_columns)}"
+    types = {c[0]: str(c[1]) for c in wanted.description}
+    for column, kind in found.dtypes:
+        if TYPES[kind] != types[column]:
+            return f"{column} is {kind} and {types[column]}"
     places = [wanted_columns.index(c) for c in columns]
     expected = Counter(tuple(_plain(row[p]) for p in places) for row in wanted.fetchall())
     got = Counter(tuple(_plain(v) for v in row) for row in found.select(columns).collect())

@@ -132,7 +132,7 @@ scores as (
   from books b left join products p using (file_name)
   where b.file_name <> (select target from target)),
 top as (
-  select row_number() over (order by round(similarity, 10) desc, file_name) as rank, file_name, similarity
+  select cast(row_number() over (order by round(similarity, 10) desc, file_name) as integer) as rank, file_name, similarity
   from scores qualify rank <= 5)
 """
 
@@ -276,7 +276,7 @@ def all_oracles() -> dict[str, str]:
             counted = f"select {side}, count(*) as {degree} from edges group by {side}"
             found[f"{degree}_x{x}"] = f"with {AUTHORS}, {_edges(x)} {counted}"
             found[f"{top}_x{x}"] = f"""with {AUTHORS}, {_edges(x)}, d as ({counted})
-                select row_number() over (order by {degree} desc, {side}) as rank, {side},
+                select cast(row_number() over (order by {degree} desc, {side}) as integer) as rank, {side},
                   case when length({side}) > 38 then substring({side}, 1, 38) || '..' else {side} end as label,
                   {degree}
                 from d qualify rank <= 5"""

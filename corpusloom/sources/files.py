@@ -54,16 +54,14 @@ def books(
     """
     raw = (
         spark.read.schema("value STRING")
-        .option("wholetext", True)
-        .option("pathGlobFilter", f"*{suffix}")
         .option("ignoreCorruptFiles", skip_unreadable)
         .option("ignoreMissingFiles", skip_unreadable)
-        .text(path)
+        .text(path, wholetext=True, pathGlobFilter=f"*{suffix}")
     )
     text = unix_newlines(valid_text(F.col("value")))
     if max_chars is not None:
         text = F.substring(text, 1, max_chars)
-    return raw.select(F.col("_metadata.file_name").alias("file_name"), text.alias("text"))
+    return raw.select(file_name().alias("file_name"), text.alias("text"))
 
 
 def unreadable_books(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
@@ -72,12 +70,18 @@ def unreadable_books(spark: SparkSession, path: str, suffix: str = ".txt") -> Da
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"*{suffix}")
         .load(path)
-        .select(F.col("_metadata.file_name").alias("file_name"))
+        .select(file_name().alias("file_name"))
     )
     loaded = books(spark, path, suffix).select("file_name")
     return listed.join(loaded, "file_name", "left_anti")
 
 
+def file_name() -> Column:
+    """Name of the file a row was read from; Spark hands it out URL-encoded."""
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded)
+
+
 def valid_text(value: Column) -> Column:
     """Drop the bytes that are not UTF-8 and keep all others.
 

@@ -47,17 +47,22 @@ def books(
 ) -> DataFrame:
     """One row per file directly under ``path`` whose name ends in ``suffix``.
 
+    Spark passes over files of no bytes and names that start with '.' or '_'.
     Bytes that are not UTF-8 are dropped and all line ends become LF. No file
     gives no rows, with the same schema. ``max_chars`` keeps the start of each
     text; by default the text is whole. With ``skip_unreadable`` a file that
     cannot be read is left out; :func:`unreadable_books` names those.
     """
-    raw = (
+    reader = (
         spark.read.schema("value STRING")
         .option("ignoreCorruptFiles", skip_unreadable)
         .option("ignoreMissingFiles", skip_unreadable)
-        .text(path, wholetext=True, pathGlobFilter=f"*{suffix}")
     )
+    names = f"*{suffix}"
+    raw = reader.text(path, wholetext=True, pathGlobFilter=names)
+    if raw.columns != ["value"]:
+        # folders named key=value below would be read in place of the files here
+        raw = reader.text(f"{path}/{names}", wholetext=True)
     text = unix_newlines(valid_text(F.col("value")))
     if max_chars is not None:
         text = F.substring(text, 1, max_chars)
@@ -68,8 +73,7 @@ def unreadable_books(spark: SparkSession, path: str, suffix: str = ".txt") -> Da
     """Names of the files that :func:`books` would leave out."""
     listed = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(path)
+        .load(f"{path}/*{suffix}")
         .select(file_name().alias("file_name"))
     )
     loaded = books(spark, path, suffix).select("file_name")

@@ -42,6 +42,13 @@ def test_books_are_the_txt_files_of_one_folder(spark, folder):
             assert file.read() == found[name]
 
 
+def test_folders_named_like_partitions_do_not_hide_books(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x")
+    (tmp_path / "k=v").mkdir()
+    (tmp_path / "k=v" / "b.txt").write_text("y")
+    assert loaded(sources.books(spark, str(tmp_path))) == {"a.txt": "x"}
+
+
 def test_max_chars_counts_characters_after_decoding(spark, folder):
     found = loaded(sources.books(spark, str(folder), max_chars=5))
     assert found["a b.txt"] == "one\nt"

@@ -79,9 +79,9 @@ def _similarity(spark, options) -> None:
 def _network(spark, options) -> None:
     found = influence.network(_books(spark, options))
     found.variants().show(10, truncate=False)
-    for window in influence.op.WINDOWS:
-        found.top_influential(window).show(truncate=False)
-        found.top_influenced(window).show(truncate=False)
+    for influential, influenced in found.top_of_windows().values():
+        influential.show(truncate=False)
+        influenced.show(truncate=False)
     found.sweep().show()
     found.save(options.target)
 

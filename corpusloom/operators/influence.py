@@ -162,20 +162,23 @@ def degrees(points: DataFrame, windows: Sequence[int], outward: bool) -> DataFra
     return joined.groupBy("author").agg(*[F.sum(f"x{x}").alias(f"x{x}") for x in windows])
 
 
-def out_degree(points: DataFrame, window: int) -> DataFrame:
-    """``(author_from, out_degree)``, highest first; authors with none are left out."""
-    return _degree(points, window, True, "author_from", "out_degree")
+def degree_ranking(table: DataFrame, window: int, author: str, degree: str) -> DataFrame:
+    """``(<author>, <degree>)`` of one window of a :func:`degrees` table,
+    highest first; authors with none are left out."""
+    named = table.select(F.col("author").alias(author), F.col(f"x{window}").alias(degree))
+    return named.filter(F.col(degree) > 0).orderBy(F.desc(degree), author)
 
 
-def in_degree(points: DataFrame, window: int) -> DataFrame:
-    """``(author_to, in_degree)``, highest first; authors with none are left out."""
-    return _degree(points, window, False, "author_to", "in_degree")
+def out_degree(points: DataFrame, window: int) -> DataFrame:
+    """``(author_from, out_degree)``."""
+    table = degrees(points, [window], outward=True)
+    return degree_ranking(table, window, "author_from", "out_degree")
 
 
-def _degree(points: DataFrame, window: int, outward: bool, author: str, degree: str) -> DataFrame:
-    counted = degrees(points, [window], outward)
-    named = counted.select(F.col("author").alias(author), F.col(f"x{window}").alias(degree))
-    return named.filter(F.col(degree) > 0).orderBy(F.desc(degree), author)
+def in_degree(points: DataFrame, window: int) -> DataFrame:
+    """``(author_to, in_degree)``."""
+    table = degrees(points, [window], outward=False)
+    return degree_ranking(table, window, "author_to", "in_degree")
 
 
 def top_authors(degree_table: DataFrame, n: int = 5) -> DataFrame:

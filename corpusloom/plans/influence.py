@@ -40,6 +40,22 @@ class InfluenceNetwork:
     def top_influenced(self, window: int = BASE_WINDOW, n: int = 5) -> DataFrame:
         return op.top_authors(self.in_degree(window), n)
 
+    def top_of_windows(
+        self, windows: Sequence[int] = op.WINDOWS, n: int = 5
+    ) -> dict[int, tuple[DataFrame, DataFrame]]:
+        """Most influential and most influenced authors by window. The degrees
+        of all windows come out of one pass in each direction."""
+        points = self._points(False)
+        outward = materialize(op.degrees(points, windows, True), "out-degrees")
+        inward = materialize(op.degrees(points, windows, False), "in-degrees")
+        return {
+            x: (
+                op.top_authors(op.degree_ranking(outward, x, "author_from", "out_degree"), n),
+                op.top_authors(op.degree_ranking(inward, x, "author_to", "in_degree"), n),
+            )
+            for x in windows
+        }
+
     def sweep(self, windows: Sequence[int] = op.WINDOWS) -> DataFrame:
         return op.window_sweep(op.book_years(self.nodes), windows, BASE_WINDOW)
 

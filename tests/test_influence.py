@@ -140,3 +140,6 @@ def test_saved_network(spark, tmp_path):
     assert edges.count() == network.edges().count() > 0
     degrees = spark.read.schema("a STRING, n BIGINT").csv(f"{tmp_path}/out_degree")
     assert degrees.agg(F.sum("n")).first()[0] == edges.count()
+    for window, (influential, influenced) in network.top_of_windows().items():
+        assert rows(influential) == rows(network.top_influential(window))
+        assert rows(influenced) == rows(network.top_influenced(window))

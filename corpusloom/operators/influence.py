@@ -210,7 +210,7 @@ def window_sweep(points: DataFrame, windows: Sequence[int] = WINDOWS, base: int
     return totals.select(F.inline(F.array(*rows)))
 
 
-def influence_edges(node_table: DataFrame, window: int, block_nodes: int = 256) -> DataFrame:
+def influence_edges(node_table: DataFrame, window: int, block_nodes: int = 512) -> DataFrame:
     """``(author_from, author_to, year_from, year_to, year_diff)``, distinct.
 
     The result is quadratic by nature; only its work is spread evenly. Nodes in

@@ -17,6 +17,8 @@ TARGET = "200.txt"
 
 @dataclass(frozen=True)
 class SimilarityReport:
+    """The scores of all books against ``target``, as a written table."""
+
     target: str | None
     similarities: DataFrame
 
@@ -37,14 +39,18 @@ def exact(books: DataFrame, wanted: str = TARGET) -> SimilarityReport:
     """One term, one dimension."""
     vectors = materialize(term_vectors(books), "term-vectors")
     target = _target(vectors, wanted)
-    return SimilarityReport(target, op.exact_similarity(vectors, target))
+    return _scored(target, op.exact_similarity(vectors, target))
 
 
 def hashed(books: DataFrame, wanted: str = TARGET, buckets: int = 65536) -> SimilarityReport:
     """Terms share ``buckets`` dimensions by hash, so that unlike ones may meet."""
     vectors = op.hashed_vectors(books, buckets)
     target = _target(vectors, wanted)
-    return SimilarityReport(target, op.vector_similarity(vectors, target))
+    return _scored(target, op.vector_similarity(vectors, target))
+
+
+def _scored(target: str | None, similarities: DataFrame) -> SimilarityReport:
+    return SimilarityReport(target, materialize(similarities, "similarities"))
 
 
 def _target(vectors: DataFrame, wanted: str) -> str | None:

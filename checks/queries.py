@@ -82,7 +82,7 @@ def metadata_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _of_metadata(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: operator(book_metadata(spark, folder))
+    return lambda spark, folder: operator(metadata.report(books(spark, folder)).metadata)
 
 
 def row_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,12 +96,12 @@ def row_counts(spark: SparkSession, folder: str) -> DataFrame:
     return sizes.unionByName(edges)
 
 
-def average_title_length(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(meta.average_title_length(book_metadata(spark, folder)), "avg_length")
+def average_title_length(table: DataFrame) -> DataFrame:
+    return _rounded(meta.average_title_length(table), "avg_length")
 
 
-def title_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    found = meta.title_statistics(book_metadata(spark, folder))
+def title_statistics(table: DataFrame) -> DataFrame:
+    found = meta.title_statistics(table)
     length = F.round(F.col("title_length").cast("double"), 6)
     return found.select("summary", "title", length.alias("title_length"))
 
@@ -109,14 +109,9 @@ def title_statistics(spark: SparkSession, folder: str) -> DataFrame:
 # Influence
 
 
-def authors(spark: SparkSession, folder: str) -> DataFrame:
-    return net.authors(books(spark, folder))
-
-
-def author_variants(spark: SparkSession, folder: str) -> DataFrame:
-    found = net.author_variants(materialize(authors(spark, folder), "authors"))
+def author_variants(network: influence.InfluenceNetwork) -> DataFrame:
     listed = F.array_join("name_variants", "|").alias("name_variants")
-    return found.select("author_norm", "book_count", "part", listed)
+    return network.variants().select("author_norm", "book_count", "part", listed)
 
 
 def _network(use: Callable[[influence.InfluenceNetwork], DataFrame]) -> Query:
@@ -203,11 +198,11 @@ def all_queries() -> dict[str, Query]:
         "books_per_language": _of_metadata(meta.books_per_language),
         "top_language": _of_metadata(meta.top_language),
         "titles": _of_metadata(meta.titles),
-        "average_title_length": average_title_length,
-        "title_statistics": title_statistics,
+        "average_title_length": _of_metadata(average_title_length),
+        "title_statistics": _of_metadata(title_statistics),
         "row_counts": row_counts,
-        "authors": authors,
-        "author_variants": author_variants,
+        "authors": _network(lambda n: n.authors),
+        "author_variants": _network(author_variants),
         "influence_edges_x5": _network(lambda n: n.edges()),
         "influence_edges_csv": edges_csv,
         "window_sweep": window_sweep,

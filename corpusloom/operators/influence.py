@@ -19,17 +19,25 @@ from corpusloom.workspace import materialize
 WINDOWS = (1, 5, 10, 20)
 
 
-def authors(books: DataFrame) -> DataFrame:
-    """``(file_name, author_original, release_year, author_norm)`` of the books
-    that name an author and a year other than 0."""
-    found = books.select(
+def author_fields(books: DataFrame) -> DataFrame:
+    """``(file_name, author_original, release_year)`` of every book; a missing
+    author is '', a missing year NULL."""
+    text = F.col("text")
+    return books.select(
         "file_name",
-        names.clean_author(headers.unicode_field(F.col("text"), "Author:")).alias("author_original"),
-        headers.unicode_year(
-            headers.unicode_field(F.col("text"), "Release Date:")
-        ).alias("release_year"),
+        names.clean_author(headers.unicode_field(text, "Author:")).alias("author_original"),
+        headers.unicode_year(headers.unicode_field(text, "Release Date:")).alias("release_year"),
     )
-    kept = found.filter((F.col("author_original") != "") & (F.col("release_year") != 0))
+
+
+def authors(fields: DataFrame) -> DataFrame:
+    """The books that name an author and a year other than 0, with the key
+    ``author_norm`` that joins spellings.
+
+    Pass written fields: Spark would look through the texts once for this
+    filter and again for its output.
+    """
+    kept = fields.filter((F.col("author_original") != "") & (F.col("release_year") != 0))
     return kept.withColumn("author_norm", names.author_key(F.col("author_original")))
 
 

@@ -17,7 +17,7 @@ BASE_WINDOW = 5
 
 @dataclass(frozen=True)
 class InfluenceNetwork:
-    """Tables over one written author table and its nodes."""
+    """Tables over the written author fields and their distinct nodes."""
 
     authors: DataFrame
     nodes: DataFrame
@@ -71,5 +71,5 @@ class InfluenceNetwork:
 
 
 def network(books: DataFrame) -> InfluenceNetwork:
-    authors = materialize(op.authors(books), "authors")
+    authors = op.authors(materialize(op.author_fields(books), "author-fields"))
     return InfluenceNetwork(authors, materialize(op.nodes(authors), "nodes"))

@@ -107,7 +107,7 @@ def test_authors_need_a_name_and_a_year(spark):
         "6": "Author: ann lee.\nRelease Date: 1999, 2001\n",
     }
     books = spark.createDataFrame(list(texts.items()), "file_name STRING, text STRING")
-    found = op.authors(books)
+    found = op.authors(op.author_fields(books))
     assert sorted(rows(found)) == [
         ("1", "Ann Lee", 2001, "ann lee"),
         ("6", "ann lee", 1999, "ann lee"),

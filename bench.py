@@ -16,7 +16,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from checks.queries import all_queries  # noqa: E402
+from checks.queries import all_queries, line_files  # noqa: E402
+from corpusloom.plans.word_count import split_sweep  # noqa: E402
 from corpusloom.session import get_session  # noqa: E402
 
 HEADLINE = [
@@ -59,6 +60,7 @@ def main() -> None:
     queries = all_queries()
     _run(queries["books_per_language"], spark, folder)  # start the JVM's code paths
     seconds = {name: _run(queries[name], spark, folder) for name in names}
+    sweep = [row.asDict() for row in split_sweep(spark, line_files(spark, folder)).collect()]
     found = re.search(r"sf([0-9.]+)$", folder)
     print(
         json.dumps(
@@ -67,6 +69,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "split_sweep": sweep,
                 "sf": float(found.group(1)) if found else folder,
             }
         )

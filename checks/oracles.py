@@ -182,6 +182,18 @@ bucket_tf as (
 HASHED = BUCKETS + _WEIGHTS.format(tf="bucket_tf") + TARGET + _SCORES
 
 
+_REPORT = """
+select 1 as section, 0 as rank,
+  'Top 5 books similar to ' || (select target from target) || ':' as line
+union all select 1, 1, repeat('-', 50)
+union all select 2, rank, rank || '. ' || file_name || ' - similarity: '
+  || printf('%.6f', similarity) from top
+union all select 3, i, l from (values (0, ''), (1, ''), (2, 'All similarity scores:'),
+  (3, repeat('-', 50))) v(i, l)
+union all select 4, 0, file_name || ': ' || printf('%.6f', similarity) from scores
+"""
+
+
 def all_oracles() -> dict[str, str]:
     sizes = "(values (cast(null as bigint)), (16777216), (268435456), (4194304)) s(split_bytes)"
     found = {
@@ -251,15 +263,11 @@ def all_oracles() -> dict[str, str]:
         "tfidf_unit_weights": f"""with {TF} {_WEIGHTS.format(tf='tf')}
             select file_name, term, round(weight, 6) as weight from unit""",
         "similarity_target": f"with {BOOKS} {TARGET} select * from target",
-        "similarity_report": f"""with {HASHED}
-            select 1 as section, 0 as rank,
-              'Top 5 books similar to ' || (select target from target) || ':' as line
-            union all select 1, 1, repeat('-', 50)
-            union all select 2, rank, rank || '. ' || file_name || ' - similarity: '
-              || printf('%.6f', similarity) from top
-            union all select 3, i, l from (values (0, ''), (1, ''), (2, 'All similarity scores:'),
-              (3, repeat('-', 50))) v(i, l)
-            union all select 4, 0, file_name || ': ' || printf('%.6f', similarity) from scores""",
+        "similarity_report": f"with {HASHED} {_REPORT}",
+        "similarity_report_files": f"with {EXACT} select line from ({_REPORT})",
+        "degrees_csv": f"""with {AUTHORS}, {_edges(5)}
+            select 'out' as side, author_from as author, count(*) as degree from edges group by author_from
+            union all select 'in', author_to, count(*) from edges group by author_to""",
     }
     for kind, cte in (("exact", EXACT), ("hashed", HASHED)):
         found[f"similar_{kind}_top5"] = (

@@ -17,7 +17,7 @@ from corpusloom.operators.word_count import sorted_word_count, word_count
 from corpusloom.plans import influence, metadata, similarity
 from corpusloom.plans.word_count import SPLIT_SIZES
 from corpusloom.plans.word_count import run as count_files
-from corpusloom.sinks.files import read_counts
+from corpusloom.sinks.files import read_counts, write_csv
 from corpusloom.sources.files import lines
 from corpusloom.workspace import materialize, new_path
 
@@ -42,7 +42,7 @@ def words(spark: SparkSession, folder: str) -> DataFrame:
     return sorted_word_count(documents(spark, folder), "text")
 
 
-def _line_files(spark: SparkSession, folder: str) -> str:
+def line_files(spark: SparkSession, folder: str) -> str:
     path = new_path(spark, "lines")
     documents(spark, folder).select("text").write.text(path)
     return path
@@ -50,12 +50,12 @@ def _line_files(spark: SparkSession, folder: str) -> str:
 
 def words_of_files(spark: SparkSession, folder: str) -> DataFrame:
     result = new_path(spark, "counts")
-    count_files(spark, _line_files(spark, folder), result)
+    count_files(spark, line_files(spark, folder), result)
     return read_counts(spark, result)
 
 
 def words_by_split_size(spark: SparkSession, folder: str) -> DataFrame:
-    path = _line_files(spark, folder)
+    path = line_files(spark, folder)
     totals = []
     for size in SPLIT_SIZES:
         counts = word_count(lines(spark, path, size))
@@ -124,6 +124,19 @@ def edges_csv(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(EDGES_SCHEMA).csv(f"{path}/edges")
 
 
+def degrees_csv(spark: SparkSession, folder: str) -> DataFrame:
+    network = influence.network(books(spark, folder))
+    path = new_path(spark, "degrees-csv")
+    write_csv(network.out_degree(), f"{path}/out")
+    write_csv(network.in_degree(), f"{path}/in")
+    reader = spark.read.schema("author STRING, degree BIGINT")
+    sides = [
+        reader.csv(f"{path}/{side}").select(F.lit(side).alias("side"), "author", "degree")
+        for side in ("out", "in")
+    ]
+    return sides[0].unionByName(sides[1])
+
+
 def window_sweep(spark: SparkSession, folder: str) -> DataFrame:
     found = influence.network(books(spark, folder)).sweep()
     label = F.format_string("%.2fx", "ratio").alias("change")
@@ -184,6 +197,12 @@ def similarity_report(spark: SparkSession, folder: str) -> DataFrame:
     return similarity.hashed(books(spark, folder)).lines().select("section", "rank", "line")
 
 
+def similarity_report_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "report")
+    similarity.exact(books(spark, folder)).save(path)
+    return lines(spark, path).withColumnRenamed("value", "line")
+
+
 def all_queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "word_count": words,
@@ -205,6 +224,7 @@ def all_queries() -> dict[str, Query]:
         "author_variants": _network(author_variants),
         "influence_edges_x5": _network(lambda n: n.edges()),
         "influence_edges_csv": edges_csv,
+        "degrees_csv": degrees_csv,
         "window_sweep": window_sweep,
         "out_degree_authors_x5": _network(lambda n: n.out_degree(distinct_authors=True)),
         "in_degree_authors_x5": _network(lambda n: n.in_degree(distinct_authors=True)),
@@ -220,6 +240,7 @@ def all_queries() -> dict[str, Query]:
         "similar_hashed_top5": _similar(similarity.hashed, lambda s: s.top()),
         "similar_hashed_all": _similar(similarity.hashed, lambda s: s.ranked()),
         "similarity_report": similarity_report,
+        "similarity_report_files": similarity_report_files,
     }
     for x in net.WINDOWS:
         found[f"out_degree_x{x}"] = _network(lambda n, x=x: n.out_degree(x))

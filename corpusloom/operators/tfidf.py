@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as t
 from corpusloom.functions.stop_words import ENGLISH
 from corpusloom.operators.joins import lookup_join
+from corpusloom.workspace import materialize
 
 
 def content(books: DataFrame) -> DataFrame:
-    return books.select("file_name", t.main_content(F.col("text")).alias("content"))
+    """``(file_name, content)``; a book without text has no content."""
+    text = F.coalesce("text", F.lit(""))
+    return books.select("file_name", t.main_content(text).alias("content"))
 
 
 def cleaned(books: DataFrame) -> DataFrame:
@@ -69,8 +72,12 @@ def unit_weights(weights: DataFrame) -> DataFrame:
 
     ``weights`` is read twice; pass a written table.
     """
-    lengths = weights.groupBy("file_name").agg(
-        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length")
+    lengths = materialize(
+        weights.groupBy("file_name").agg(
+            F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"),
+            F.count("*").alias("terms"),
+        ),
+        "lengths",
     )
-    scaled = weights.join(lengths, "file_name")
+    scaled = lookup_join(weights, lengths, ["file_name"], "terms")
     return scaled.select("file_name", "term", (F.col("weight") / F.col("length")).alias("weight"))

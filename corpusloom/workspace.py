@@ -28,7 +28,11 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` and return the written table."""
+    """Write ``df`` and return the written table.
+
+    Compressed for size: at scale it is copied over the network more often than
+    it is computed.
+    """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

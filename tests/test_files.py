@@ -23,6 +23,7 @@ def folder(tmp_path):
     (place / "é%20.txt").write_bytes("﻿x�y".encode())
     (place / "1+1 é.txt").write_text("plus")
     (place / "upper.TXT").write_text("no")
+    (place / "broken.txt").symlink_to(place / "nowhere")
     (place / "notes.md").write_text("no")
     (place / "sub").mkdir()
     (place / "sub" / "c.txt").write_text("no")

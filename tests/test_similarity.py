@@ -124,6 +124,14 @@ def test_idf_of_a_rare_a_shared_and_a_common_term(spark):
     assert found == {"a": 0.0, "b": pytest.approx(0.287682, abs=1e-6), "c": 0.0}
 
 
+def test_a_book_without_text_scores_zero(spark):
+    rows = [("a", "whale ship"), ("b", "whale ship"), ("c", None), ("d", "sea")]
+    books = spark.createDataFrame(rows, "file_name STRING, text STRING")
+    for compare in (plan.exact, plan.hashed):
+        found = {r["file_name"]: r["similarity"] for r in compare(books, "a").similarities.collect()}
+        assert found == {"b": pytest.approx(1.0), "c": 0.0, "d": 0.0}
+
+
 def test_no_books(spark):
     none = spark.createDataFrame([], "file_name STRING, text STRING")
     report = plan.exact(none)

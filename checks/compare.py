@@ -55,7 +55,7 @@ def difference(spark: SparkSession, connection: duckdb.DuckDBPyConnection, folde
 
 def _plain(value: object) -> object:
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 9)
+        return "nan" if math.isnan(value) else value
     return value
 
 

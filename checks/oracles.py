@@ -254,6 +254,10 @@ def all_oracles() -> dict[str, str]:
             select author_to, count(distinct author_from) as in_degree from edges group by author_to""",
         "main_content": f"with {CONTENT} select * from content",
         "clean_text": f"with {CONTENT} select * from cleaned",
+        "tokens": f"""with {CONTENT}
+            select file_name, array_to_string(
+              list_filter(string_split(clean_text, ' '), lambda t: length(t) >= 2), ' ') as tokens
+            from cleaned""",
         "filtered_tokens": f"""with {TOKENS}
             select b.file_name, coalesce(string_agg(term, ' ' order by i), '') as tokens
             from books b left join tokens t using (file_name) group by b.file_name""",
@@ -263,6 +267,8 @@ def all_oracles() -> dict[str, str]:
         "tfidf_unit_weights": f"""with {TF} {_WEIGHTS.format(tf='tf')}
             select file_name, term, round(weight, 6) as weight from unit""",
         "similarity_target": f"with {BOOKS} {TARGET} select * from target",
+        "hashed_unit_weights": f"""with {BUCKETS} {_WEIGHTS.format(tf='bucket_tf')}
+            select file_name, cast(term as integer) as bucket, round(weight, 6) as weight from unit""",
         "similarity_report": f"with {HASHED} {_REPORT}",
         "similarity_report_files": f"with {EXACT} select line from ({_REPORT})",
         "degrees_csv": f"""with {AUTHORS}, {_edges(5)}

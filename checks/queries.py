@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.books_view import books, documents
+from corpusloom.functions import text
 from corpusloom.operators import influence as net
 from corpusloom.operators import metadata as meta
 from corpusloom.operators import tfidf
 from corpusloom.operators.preview import first_rows
-from corpusloom.operators.similarity import target_book
+from corpusloom.operators.similarity import hashed_vectors, target_book, vector_entries
 from corpusloom.operators.word_count import sorted_word_count, word_count
 from corpusloom.plans import influence, metadata, similarity
 from corpusloom.plans.word_count import SPLIT_SIZES
@@ -154,6 +155,11 @@ def cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return tfidf.cleaned(books(spark, folder))
 
 
+def tokens(spark: SparkSession, folder: str) -> DataFrame:
+    found = text.tokens(F.col("clean_text"))
+    return cleaned(spark, folder).select("file_name", F.array_join(found, " ").alias("tokens"))
+
+
 def filtered_tokens(spark: SparkSession, folder: str) -> DataFrame:
     found = tfidf.filtered_tokens(books(spark, folder))
     return found.select("file_name", F.array_join("filtered_tokens", " ").alias("tokens"))
@@ -182,6 +188,11 @@ def unit_weights(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(tfidf.unit_weights(weights), "weight")
 
 
+def hashed_weights(spark: SparkSession, folder: str) -> DataFrame:
+    entries = vector_entries(hashed_vectors(books(spark, folder)))
+    return _rounded(entries.filter(F.col("weight") > 0), "weight")
+
+
 def similarity_target(spark: SparkSession, folder: str) -> DataFrame:
     return target_book(books(spark, folder), similarity.TARGET)
 
@@ -230,10 +241,12 @@ def all_queries() -> dict[str, Query]:
         "in_degree_authors_x5": _network(lambda n: n.in_degree(distinct_authors=True)),
         "main_content": main_content,
         "clean_text": cleaned,
+        "tokens": tokens,
         "filtered_tokens": filtered_tokens,
         "term_frequency": term_frequency,
         "term_idf": term_idf,
         "tfidf_unit_weights": unit_weights,
+        "hashed_unit_weights": hashed_weights,
         "similarity_target": similarity_target,
         "similar_exact_top5": _similar(similarity.exact, lambda s: s.top()),
         "similar_exact_all": _similar(similarity.exact, lambda s: s.ranked()),

@@ -136,7 +136,7 @@ def reach(points: DataFrame, windows: Sequence[int], outward: bool) -> DataFrame
     by_key = ends.groupBy("author_norm", "year").agg(
         F.sum("own").alias("points"), F.sum("other").alias("other")
     )
-    by_year = by_key.groupBy("year").agg(F.sum("other").alias("other"))
+    by_year = ends.groupBy("year").agg(F.sum("other").alias("other"))
 
     order = F.desc("year") if outward else F.asc("year")
 
@@ -218,7 +218,7 @@ def window_sweep(points: DataFrame, windows: Sequence[int] = WINDOWS, base: int
     return totals.select(F.inline(F.array(*rows)))
 
 
-def influence_edges(node_table: DataFrame, window: int, block_nodes: int = 512) -> DataFrame:
+def influence_edges(node_table: DataFrame, window: int, block_nodes: int = 1024) -> DataFrame:
     """``(author_from, author_to, year_from, year_to, year_diff)``, distinct.
 
     The result is quadratic by nature; only its work is spread evenly. Nodes in

@@ -101,7 +101,7 @@ def vector_similarity(vectors: DataFrame, target: str) -> DataFrame:
     The target's entries are broadcast; there are at most as many as a vector
     has dimensions. Vectors stay sparse.
     """
-    entries = vectors.select("file_name", F.inline_outer(_entries(F.col("norm_features"))))
+    entries = vector_entries(vectors)
     of_target = entries.filter((F.col("file_name") == target) & (F.col("weight") != 0)).select(
         "bucket", F.col("weight").alias("target_weight")
     )
@@ -113,11 +113,12 @@ def vector_similarity(vectors: DataFrame, target: str) -> DataFrame:
     return products.groupBy("file_name").agg(F.sum("product").alias("similarity"))
 
 
-def _entries(vector: Column) -> Column:
-    parts = F.unwrap_udt(vector)
-    return F.arrays_zip(
-        parts["indices"].alias("bucket"), parts["values"].alias("weight")
-    )
+def vector_entries(vectors: DataFrame) -> DataFrame:
+    """``(file_name, bucket, weight)`` of sparse vectors, one NULL entry for an
+    empty one."""
+    parts = F.unwrap_udt("norm_features")
+    entries = F.arrays_zip(parts["indices"].alias("bucket"), parts["values"].alias("weight"))
+    return vectors.select("file_name", F.inline_outer(entries))
 
 
 def by_similarity() -> list[Column]:

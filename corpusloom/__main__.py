@@ -23,9 +23,7 @@ def _parser() -> argparse.ArgumentParser:
     counted.add_argument("source")
     counted.add_argument("target")
     counted.add_argument("split_bytes", type=int, nargs="?")
-    counted.set_defaults(
-        run=lambda spark, o: word_count.run(spark, o.source, o.target, o.split_bytes)
-    )
+    counted.set_defaults(run=_word_count)
 
     sweep = jobs.add_parser("split-sweep", help="time the word count by split size")
     sweep.add_argument("source")
@@ -58,6 +56,11 @@ def _books(spark, options):
     return books(spark, options.source, max_chars=options.max_chars)
 
 
+def _word_count(spark, options) -> None:
+    spent = word_count.run(spark, options.source, options.target, options.split_bytes)
+    print(f"{spent} ms")
+
+
 def _metadata(spark, options) -> None:
     found = metadata.report(_books(spark, options))
     found.counts().show()

@@ -16,8 +16,15 @@ from corpusloom.sources.files import lines
 SPLIT_SIZES = (None, 16777216, 268435456, 4194304)
 
 
-def run(spark: SparkSession, source: str, target: str, split_bytes: int | None = None) -> None:
+def run(spark: SparkSession, source: str, target: str, split_bytes: int | None = None) -> int:
+    """Write the counts and return the milliseconds it took."""
+    begin = time.perf_counter()
     write_counts(sorted_word_count(lines(spark, source, split_bytes)), target)
+    return _milliseconds(begin)
+
+
+def _milliseconds(begin: float) -> int:
+    return round((time.perf_counter() - begin) * 1000)
 
 
 def split_sweep(
@@ -29,6 +36,5 @@ def split_sweep(
         text = lines(spark, source, size)
         begin = time.perf_counter()
         word_count(text).write.format("noop").mode("overwrite").save()
-        spent = round((time.perf_counter() - begin) * 1000)
-        measured.append((size, text.rdd.getNumPartitions(), spent))
+        measured.append((size, text.rdd.getNumPartitions(), _milliseconds(begin)))
     return spark.createDataFrame(measured, "split_bytes BIGINT, partitions INT, ms BIGINT")

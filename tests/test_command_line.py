@@ -24,4 +24,5 @@ def test_jobs_over_a_folder_of_books(spark, tmp_path, capsys):
     main(["network", str(corpus), str(tmp_path / "net"), "--max-chars", "10000"])
     assert parts(tmp_path / "net" / "edges").count("\n") > 0
     shown = capsys.readouterr().out
+    assert " ms\n" in shown
     assert "book_count" in shown and "window_years" in shown

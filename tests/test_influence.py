@@ -60,6 +60,16 @@ def test_degrees_equal_counted_edges(spark):
         assert dict(rows(op.in_degree(spans, window))) == Counter(b for _, b in pairs)
 
 
+def test_degrees_with_frequent_keys_joined_apart(spark, monkeypatch):
+    nodes = skewed_nodes()
+    points = op.book_years(table(spark, nodes))
+    join = op.lookup_join
+    monkeypatch.setattr(op, "lookup_join", lambda *a: join(*a, max_rows=5))
+    edges = plain_edges(nodes, 5)
+    assert dict(rows(op.out_degree(points, 5))) == Counter(e[0] for e in edges)
+    assert dict(rows(op.in_degree(points, 5))) == Counter(e[1] for e in edges)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.sets(

@@ -1,4 +1,8 @@
+from collections import Counter
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
 from pyspark.sql import functions as F
 
@@ -94,6 +98,16 @@ def test_one_pass_tokens_equal_the_feature_transformers(spark):
         assert row["kept"] == row["our_kept"] == row["one_pass"]
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.sampled_from(["a", "b", "ab", "é", "", "😀"]), max_size=30), min_size=1))
+def test_term_counts_equal_a_counter(spark, drawn):
+    df = spark.createDataFrame(list(enumerate(drawn)), "id INT, terms ARRAY<STRING>")
+    for row in df.select("id", t.term_counts(F.col("terms")).alias("counts")).collect():
+        counts = [tuple(c) for c in row["counts"]]
+        assert dict(counts) == Counter(drawn[row["id"]])
+        assert len(counts) == len(dict(counts))
+
+
 def test_term_counts_per_row(spark):
     rows = spark.createDataFrame(
         [(["b", "a", "b"],), ([],), (["z"],)], "terms ARRAY<STRING>"

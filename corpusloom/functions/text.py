@@ -43,9 +43,11 @@ def _position(text: Column, markers: Sequence[str], default: Column) -> Column:
 
 
 def clean_text(content: Column) -> Column:
-    """Lower case, every non-letter a space, runs of white space one space."""
-    letters = F.regexp_replace(F.lower(content), r"[^a-zA-Z\s]", " ")
-    return F.regexp_replace(letters, r"\s+", " ")
+    """Lower case, every non-letter a space, runs of white space one space.
+
+    Both rules at once: whatever lies between letters becomes one space.
+    """
+    return F.regexp_replace(F.lower(content), "[^a-z]+", " ")
 
 
 def tokens(text: Column, min_length: int = 2) -> Column:

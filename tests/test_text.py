@@ -61,6 +61,8 @@ def test_main_content(value_of, text, expected):
 
 def test_clean_text_puts_blanks_for_all_but_letters(value_of):
     assert value_of(t.clean_text, "Don't  STOP-me\n42 é") == "don t stop me "
+    assert value_of(t.clean_text, "\n a\x0bb\u00a0c😀D.") == " a b c d "
+    assert value_of(t.clean_text, "") == ""
 
 
 def test_short_tokens_go(value_of):

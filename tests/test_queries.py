@@ -2,6 +2,8 @@ import pytest
 
 import __spark_entry__
 from checks.compare import connect, difference
+from checks.oracles import all_oracles
+from checks.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -12,7 +14,8 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
 def test_entry(spark):
@@ -21,6 +24,6 @@ def test_entry(spark):
     assert found.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_its_sql(spark, connection, name):
     assert difference(spark, connection, FOLDER, name) == ""

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +61,17 @@ def join_by_share(
     rest = lookup.filter(F.col(fact_rows) <= share)
     of_rest = facts.join(frequent.select(keys), keys, "left_anti").join(rest, keys, "left")
     return facts.join(frequent, keys).unionByName(of_rest)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Spark send this package to its Python workers, which may not have it."""
+    context = spark.sparkContext
+    if getattr(context, "_corpusloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._corpusloom_shipped = True

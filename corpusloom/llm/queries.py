@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import exact_dedup, quality, secret_scan
+from corpusloom.llm import exact_dedup, packing, quality, secret_scan, token_files, tree_bpe
 from corpusloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(documents(spark, folder)).places()
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return quality.quality_verdicts(documents(spark, folder), labels)
@@ -36,14 +40,25 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return tree_bpe.encode_documents(documents(spark, folder), digest=True)
+
+
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_files(documents(spark, folder)).documents()
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder), keep="largest")
 
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op2_nnls_packing": op2_nnls_packing,
         "op3_quality_rules": op3_quality_rules,
         "op4_secret_scan": op4_secret_scan,
+        "op5_tree_bpe": op5_tree_bpe,
+        "op6_token_files": op6_token_files,
         "op7_exact_dedup": op7_exact_dedup,
     }
 

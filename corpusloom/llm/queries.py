@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import exact_dedup, packing, quality, secret_scan, token_files, tree_bpe
+from corpusloom.llm import (
+    exact_dedup,
+    jaccard_join,
+    packing,
+    quality,
+    secret_scan,
+    token_files,
+    tree_bpe,
+)
 from corpusloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +60,10 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder), keep="largest")
 
 
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, folder))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op2_nnls_packing": op2_nnls_packing,
@@ -60,6 +72,7 @@ def all_queries() -> dict[str, Query]:
         "op5_tree_bpe": op5_tree_bpe,
         "op6_token_files": op6_token_files,
         "op7_exact_dedup": op7_exact_dedup,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 

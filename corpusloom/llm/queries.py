@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from corpusloom.llm import (
     exact_dedup,
     jaccard_join,
+    line_templates,
     packing,
     quality,
     secret_scan,
@@ -60,6 +62,11 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder), keep="largest")
 
 
+def op9_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_templates.line_dedup(documents(spark, folder))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(spark, folder))
 
@@ -72,7 +79,9 @@ def all_queries() -> dict[str, Query]:
         "op5_tree_bpe": op5_tree_bpe,
         "op6_token_files": op6_token_files,
         "op7_exact_dedup": op7_exact_dedup,
+        "op9_line_templates": op9_line_templates,
         "op10_jaccard_join": op10_jaccard_join,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -21,6 +21,7 @@ Shingles are compared by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,33 +40,59 @@ SKETCH_PIECES = 16
 OFTEN = 32
 MAX_ROUNDS = 8
 PAIRS_PER_ROW = 4
+MAX_BROADCAST = 500_000
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word)
-        return found
 
+@lru_cache(maxsize=1)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    ones = np.ones(1 << bits, "u8")
+    found = []
+    for base in (_BASE, _INVERSE):
+        factors = ones * np.uint64(base)
+        factors[0] = 1
+        found.append(np.multiply.accumulate(factors))
+    return found[0], found[1]
 
-_hashes = _WordHashes()
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of the words, lower-cased ASCII-wise and ended by ASCII white
+    space: polynomials in the bytes of a word, as differences of running sums."""
+    raw = np.frombuffer(text.encode("utf-8").lower(), "u1")
+    if not len(raw):
+        return np.zeros(0, "u8")
+    powers, inverse = _powers(max(17, int(len(raw)).bit_length()))
+    space = np.ones(len(raw) + 2, bool)
+    space[1:-1] = _SPACE[raw]
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    first, beyond = edges[::2], edges[1::2]
+    sums = np.zeros(len(raw) + 1, "u8")
+    np.cumsum((raw.astype("u8") + np.uint64(1)) * powers[: len(raw)], out=sums[1:])
+    sizes = (beyond - first).astype("u8")
+    return _mixed((sums[beyond] - sums[first]) * inverse[first] + sizes * np.uint64(_INVERSE))
 
 
 def shingle_set(text: str, n: int = N) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles; words are lower-cased ASCII-wise
-    and end at ASCII white space. Fewer than ``n`` words make one shingle, none none."""
-    words = text.encode("utf-8").lower().split()
-    codes = np.fromiter(map(_hashes.__getitem__, words), "u8", len(words))
+    """Sorted 64-bit hashes of the distinct shingles. Fewer than ``n`` words make one
+    shingle, none none."""
+    codes = word_hashes(text)
     width = min(n, len(codes))
     if not width:
         return codes
     found = np.full(len(codes) - width + 1, width, "u8")
     for i in range(width):
-        found = (found ^ codes[i : len(codes) - width + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
-        found ^= found >> np.uint64(29)
+        found = _mixed(found + codes[i : len(codes) - width + 1 + i])
     return np.unique(found)
 
 
@@ -81,11 +108,10 @@ def _sketch_pass(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cells = np.zeros(1 << SKETCH_BITS, "i8")
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                found = shingle_set(text, n)
-                np.add.at(cells, (found >> np.uint64(64 - SKETCH_BITS)).astype("i8"), 1)
-                rows.append((len(found), *_signature(found)))
+            sets = [shingle_set(text, n) for text in batch["text"]]
+            met = np.concatenate([np.zeros(0, "u8"), *sets]) >> np.uint64(64 - SKETCH_BITS)
+            cells += np.bincount(met.astype("i8"), minlength=len(cells))
+            rows = [(len(found), *_signature(found)) for found in sets]
             frame = pd.DataFrame(rows, columns=["n", "sig_a", "sig_b"])
             yield frame.assign(doc_id=batch["doc_id"].to_numpy(), piece=-1, counts=None).astype(
                 {"doc_id": "Int64"}
@@ -127,6 +153,12 @@ def _often(passed: DataFrame) -> np.ndarray:
     return cells > mean + max(OFTEN, 8 * mean**0.5)
 
 
+def _chosen(short: DataFrame, classes: DataFrame) -> DataFrame:
+    """One document of each class; the others have its set."""
+    ids = classes.select(F.col("class_id").alias("doc_id"))
+    return short.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
 def _short_lists(docs: DataFrame, often: np.ndarray, n: int, percent: int) -> DataFrame:
     """``(doc_id, n, short, many)``: hashes of a document's short lists, those of common
     cells in ``many``."""
@@ -176,8 +208,11 @@ def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
             sets = [shingle_set(t, n).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"id": batch["doc_id"], "found": sets})
 
-    wanted = docs.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    return wanted.mapInPandas(run, "id BIGINT, found BINARY")
+    ids = ids.select(F.col("id").alias("doc_id"))
+    if ids.count() <= MAX_BROADCAST:  # 8 bytes each; beyond that the join shuffles
+        ids = F.broadcast(ids)
+    wanted = docs.join(ids, "doc_id", "left_semi")
+    return wanted.mapInPandas(run, "id BIGINT, found BINARY").dropDuplicates(["id"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -230,7 +265,8 @@ def _open_lists(rows: DataFrame) -> DataFrame:
 
 
 def _pivot_pairs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
-    """For each document the pivot of another component that it meets most often."""
+    """For each document the pivot of another component that it meets most often, if
+    that could be enough; it meets a pivot only on lists where it is the pivot."""
     order = F.col("id") if round_ == 0 else F.xxhash64("id", F.lit(round_))
     first = F.min(F.struct(order.alias("order"), "id", "n", "component"))
     pivots = rows.groupBy("hash").agg(first.alias("pivot")).select(
@@ -241,8 +277,8 @@ def _pivot_pairs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
     )
     members = rows.select("hash", F.col("id").alias("b"), F.col("n").alias("n_b"), "component")
     met = members.join(pivots, "hash").filter((F.col("of_a") != F.col("component")) & _pair_filter(percent))
-    counted = met.groupBy("a", "b").agg(F.count("*").alias("times"))
-    best = counted.groupBy("b").agg(F.max(F.struct("times", (-F.col("a")).alias("less"))).alias("top"))
+    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("times"))
+    best = counted.filter(_enough(percent)).groupBy("b").agg(F.max(F.struct("times", (-F.col("a")).alias("less"))).alias("top"))
     return best.select((-F.col("top.less")).alias("a"), "b")
 
 
@@ -270,10 +306,15 @@ def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
         .groupBy("a", "b", "n_a", "n_b")
         .agg(F.count("*").alias("times"))
     )
-    # least overlap of this pair, and the most it can still have on long lists
+    return counted.filter(_enough(percent)).select("a", "b")
+
+
+def _enough(percent: int):
+    """Whether the least overlap of a pair can be reached: what it met on short lists
+    and the most it can still share on long ones."""
     needed = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
     long = F.greatest(*[F.ceil(percent * F.col(x) / 100) - 1 for x in ("n_a", "n_b")])
-    return counted.filter(F.col("times") >= needed - long).select("a", "b")
+    return F.col("times") >= needed - long
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
@@ -298,11 +339,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = N) -> Data
         "classes",
     )
     whole = rows.filter("doc_id is not null")
-    # one document of each class; the others have its set
-    chosen = whole.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
-    short = materialize(_short_lists(chosen, _often(passed), n, percent), "short-lists")
-    lists = materialize(_shared_lists(short), "lists")
-    sets = materialize(_sets(whole, lists.select("id").distinct(), n).dropDuplicates(["id"]), "sets")
+    short = materialize(_short_lists(whole, _often(passed), n, percent), "short-lists")
+    lists = materialize(_shared_lists(_chosen(short, classes)), "lists")
 
     links, found = [], None
     for round_ in range(MAX_ROUNDS + 1):
@@ -315,6 +353,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = N) -> Data
         pair_by_pair = work[0] <= PAIRS_PER_ROW * lists.count() or round_ == MAX_ROUNDS
         exact = pair_by_pair and round_ > 0
         pairs = _all_pairs(open_rows, percent) if exact else _pivot_pairs(open_rows, round_, percent)
+        pairs = materialize(pairs, "pairs")
+        ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        sets = materialize(_sets(whole, materialize(ends, "ends"), n), "sets")
         links.append(materialize(_verified(pairs, sets, percent), "links"))
         every = links[0]
         for more in links[1:]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpusloom.llm import (
+    class_ngrams,
     exact_dedup,
     jaccard_join,
     line_templates,
@@ -23,6 +24,10 @@ from corpusloom.llm.common import documents
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_class_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    return class_ngrams.class_bigram_scores(documents(spark, folder))
+
+
 def op2_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder)).places()
 
@@ -73,6 +78,7 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_class_ngrams": op1_class_ngrams,
         "op2_nnls_packing": op2_nnls_packing,
         "op3_quality_rules": op3_quality_rules,
         "op4_secret_scan": op4_secret_scan,

@@ -120,13 +120,22 @@ def _last_start(text: str, end: int) -> int | None:
 RESULT = "doc_id BIGINT, n_tokens BIGINT, ids BINARY, decoded STRING"
 
 
+def _whole(ids: pd.Series) -> list[int | None]:
+    return [None if pd.isna(i) else int(i) for i in ids]
+
+
 def _decoded(bpe: Encoder, doc_ids: list, found: list[bytes]) -> pd.DataFrame:
     ids = [np.frombuffer(x, "<u4").tolist() for x in found]
     texts = bpe.tokenizer.decode_batch(ids, skip_special_tokens=False)
     frame = pd.DataFrame(
-        {"doc_id": doc_ids, "n_tokens": [len(x) for x in ids], "ids": found, "decoded": texts}
+        {
+            "doc_id": pd.array(doc_ids, "Int64"),
+            "n_tokens": [len(x) for x in ids],
+            "ids": found,
+            "decoded": pd.Series(texts, dtype=object),
+        }
     )
-    return frame.astype({"doc_id": "Int64"})
+    return frame
 
 
 def encode_documents(
@@ -154,7 +163,7 @@ def encode_documents(
         for batch in batches:
             for i in range(0, len(batch), 128):
                 some = batch.iloc[i : i + 128]
-                yield finish(tree.bpe, list(some["doc_id"]), list(map(tree.encode, some["text"])))
+                yield finish(tree.bpe, _whole(some["doc_id"]), list(map(tree.encode, some["text"])))
 
     def encode_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tree = TreeEncoder(encoder(vocabulary))
@@ -171,7 +180,7 @@ def encode_documents(
             pairs = [tree.join(*level[i : i + 2]) for i in range(0, len(level) - 1, 2)]
             level = pairs + level[2 * len(pairs) :]
         copies = int(held["copies"].iloc[0])
-        doc_id = held["doc_id"].iloc[0]
+        doc_id = _whole(held["doc_id"])[0]
         return finish(tree.bpe, [doc_id] * copies, [level[0][1]] * copies)
 
     long = F.length("text") > piece

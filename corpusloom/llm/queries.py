@@ -16,6 +16,7 @@ from corpusloom.llm import (
     packing,
     quality,
     secret_scan,
+    suffix_dedup,
     token_files,
     tree_bpe,
 )
@@ -67,6 +68,12 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder), keep="largest")
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.suffix_dedup(documents(spark, folder))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
 def op9_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     found = line_templates.line_dedup(documents(spark, folder))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -85,6 +92,7 @@ def all_queries() -> dict[str, Query]:
         "op5_tree_bpe": op5_tree_bpe,
         "op6_token_files": op6_token_files,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_line_templates": op9_line_templates,
         "op10_jaccard_join": op10_jaccard_join,
         "pipeline": corpus_pipeline.run,

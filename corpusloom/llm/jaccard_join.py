@@ -20,8 +20,9 @@ Shingles are compared by 64-bit hashes.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -30,40 +31,24 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import id_and_text, join_by_share, ship_package
 from corpusloom.llm.components import components
+from corpusloom.llm.hashing import INVERSE, mixed, powers
 from corpusloom.workspace import materialize
 
 N = 5
 PERCENT = 80
 # Size of the sketch, which is the same for any corpus, and its pieces in a shuffle.
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 SKETCH_PIECES = 16
-OFTEN = 32
+OFTEN = 16
 MAX_ROUNDS = 8
 PAIRS_PER_ROW = 4
+# A round that links fewer than one in so many documents on lists is the last.
+WORTH = 100
 MAX_BROADCAST = 500_000
 
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-@lru_cache(maxsize=1)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    ones = np.ones(1 << bits, "u8")
-    found = []
-    for base in (_BASE, _INVERSE):
-        factors = ones * np.uint64(base)
-        factors[0] = 1
-        found.append(np.multiply.accumulate(factors))
-    return found[0], found[1]
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -72,15 +57,15 @@ def word_hashes(text: str) -> np.ndarray:
     raw = np.frombuffer(text.encode("utf-8").lower(), "u1")
     if not len(raw):
         return np.zeros(0, "u8")
-    powers, inverse = _powers(max(17, int(len(raw)).bit_length()))
+    up, down = powers(len(raw))
     space = np.ones(len(raw) + 2, bool)
     space[1:-1] = _SPACE[raw]
     edges = np.flatnonzero(space[1:] != space[:-1])
     first, beyond = edges[::2], edges[1::2]
     sums = np.zeros(len(raw) + 1, "u8")
-    np.cumsum((raw.astype("u8") + np.uint64(1)) * powers[: len(raw)], out=sums[1:])
+    np.cumsum((raw.astype("u8") + np.uint64(1)) * up[: len(raw)], out=sums[1:])
     sizes = (beyond - first).astype("u8")
-    return _mixed((sums[beyond] - sums[first]) * inverse[first] + sizes * np.uint64(_INVERSE))
+    return mixed((sums[beyond] - sums[first]) * down[first] + sizes * np.uint64(INVERSE))
 
 
 def shingle_set(text: str, n: int = N) -> np.ndarray:
@@ -92,7 +77,7 @@ def shingle_set(text: str, n: int = N) -> np.ndarray:
         return codes
     found = np.full(len(codes) - width + 1, width, "u8")
     for i in range(width):
-        found = _mixed(found + codes[i : len(codes) - width + 1 + i])
+        found = mixed(found + codes[i : len(codes) - width + 1 + i])
     return np.unique(found)
 
 
@@ -119,7 +104,7 @@ def _sketch_pass(docs: DataFrame, n: int) -> DataFrame:
         for piece, part in enumerate(np.split(cells, SKETCH_PIECES)):
             if part.any():
                 empty = {"n": 0, "sig_a": 0, "sig_b": 0, "doc_id": pd.NA}
-                row = pd.DataFrame([empty | {"piece": piece, "counts": part.tobytes()}])
+                row = pd.DataFrame([empty | {"piece": piece, "counts": zlib.compress(part.astype("<i8").tobytes(), 1)}])
                 yield row.astype({"doc_id": "Int64"})
 
     schema = "doc_id BIGINT, n BIGINT, sig_a BIGINT, sig_b BIGINT, piece INT, counts BINARY"
@@ -139,8 +124,11 @@ def _often(passed: DataFrame) -> np.ndarray:
     """Cells of the sketch far above the mean, one bool for each."""
 
     def add(key: tuple, held: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(x, "i8") for x in held["counts"]], axis=0)
-        return pd.DataFrame([(key[0], total.tobytes())], columns=["piece", "counts"])
+        total = np.zeros((1 << SKETCH_BITS) // SKETCH_PIECES, "i8")
+        for x in held["counts"]:
+            total += np.frombuffer(zlib.decompress(x), "<i8")
+        packed = zlib.compress(total.tobytes(), 1)
+        return pd.DataFrame([(key[0], packed)], columns=["piece", "counts"])
 
     pieces = passed.filter("piece >= 0").select("piece", "counts")
     summed = pieces.groupBy("piece").applyInPandas(add, "piece INT, counts BINARY")
@@ -148,9 +136,11 @@ def _often(passed: DataFrame) -> np.ndarray:
     cells = np.zeros(size, "i8")
     for row in summed.collect():  # the sketch has a fixed size
         width = size // SKETCH_PIECES
-        cells[row["piece"] * width : (row["piece"] + 1) * width] = np.frombuffer(row["counts"], "i8")
+        cells[row["piece"] * width : (row["piece"] + 1) * width] = np.frombuffer(
+            zlib.decompress(row["counts"]), "i8"
+        )
     mean = cells.mean()
-    return cells > mean + max(OFTEN, 8 * mean**0.5)
+    return cells > mean + max(OFTEN, 6 * mean**0.5)
 
 
 def _chosen(short: DataFrame, classes: DataFrame) -> DataFrame:
@@ -342,27 +332,32 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = N) -> Data
     short = materialize(_short_lists(whole, _often(passed), n, percent), "short-lists")
     lists = materialize(_shared_lists(_chosen(short, classes)), "lists")
 
-    links, found = [], None
+    members = lists.select("id").distinct().count()
+    links, found, exact = [], None, False
     for round_ in range(MAX_ROUNDS + 1):
         open_rows = materialize(_open_lists(_placed(lists, found)), "open-lists")
-        work = open_rows.filter(F.col("component") != F.col("largest")).agg(
-            F.sum("size"), F.count("*")
-        ).first()
-        if not work[1]:
+        outside = open_rows.filter(F.col("component") != F.col("largest"))
+        left, work = outside.agg(F.count("*"), F.sum("size")).first()
+        if not left:
             break
-        pair_by_pair = work[0] <= PAIRS_PER_ROW * lists.count() or round_ == MAX_ROUNDS
-        exact = pair_by_pair and round_ > 0
-        pairs = _all_pairs(open_rows, percent) if exact else _pivot_pairs(open_rows, round_, percent)
+        if round_ == 0:
+            pairs = _pivot_pairs(open_rows, round_, percent)
+        else:
+            exact = exact or work <= PAIRS_PER_ROW * left or round_ == MAX_ROUNDS
+            pairs = (_all_pairs if exact else partial(_pivot_pairs, round_=round_))(
+                open_rows, percent=percent
+            )
         pairs = materialize(pairs, "pairs")
         ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         sets = materialize(_sets(whole, materialize(ends, "ends"), n), "sets")
-        links.append(materialize(_verified(pairs, sets, percent), "links"))
-        every = links[0]
-        for more in links[1:]:
-            every = every.unionByName(more)
-        found = materialize(components(every), "components")
+        new = materialize(_verified(pairs, sets, percent), "links")
+        n_new = new.count()
+        if n_new:
+            links.append(new)
+            found = materialize(components(reduce(DataFrame.unionByName, links)), "components")
         if exact:
             break
+        exact = n_new * WORTH < members
 
     named = classes.withColumnRenamed("class_id", "id")
     if found is not None:

@@ -237,9 +237,9 @@ def all_oracles() -> dict[str, str]:
         "authors": f"""with {AUTHORS}
             select file_name, author_original, release_year, author_norm from authors""",
         "author_variants": f"""with {AUTHORS}
-            select author_norm, count(*) as book_count, cast(0 as bigint) as part,
-              string_agg(author_original, '|' order by author_original) as name_variants
-            from authors group by author_norm""",
+            select author_norm, author_original, count(*) as copies,
+              cast(sum(count(*)) over (partition by author_norm) as bigint) as book_count
+            from authors group by author_norm, author_original""",
         "influence_edges_x5": f"with {AUTHORS}, {_edges(5)} select * from edges",
         "influence_edges_csv": f"with {AUTHORS}, {_edges(5)} select * from edges",
         "window_sweep": f"""with {AUTHORS}, {', '.join(_edges(x, f'e{x}') for x in WINDOWS)},

@@ -110,11 +110,6 @@ def title_statistics(table: DataFrame) -> DataFrame:
 # Influence
 
 
-def author_variants(network: influence.InfluenceNetwork) -> DataFrame:
-    listed = F.array_join("name_variants", "|").alias("name_variants")
-    return network.variants().select("author_norm", "book_count", "part", listed)
-
-
 def _network(use: Callable[[influence.InfluenceNetwork], DataFrame]) -> Query:
     return lambda spark, folder: use(influence.network(books(spark, folder)))
 
@@ -232,7 +227,7 @@ def all_queries() -> dict[str, Query]:
         "title_statistics": _of_metadata(title_statistics),
         "row_counts": row_counts,
         "authors": _network(lambda n: n.authors),
-        "author_variants": _network(author_variants),
+        "author_variants": _network(lambda n: n.variants()),
         "influence_edges_x5": _network(lambda n: n.edges()),
         "influence_edges_csv": edges_csv,
         "degrees_csv": degrees_csv,

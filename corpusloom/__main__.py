@@ -37,7 +37,6 @@ def _parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(name, help=text)
         job.add_argument("source", help="folder of .txt files")
         job.add_argument("target", help="folder for the result files")
-        job.add_argument("--max-chars", type=int, help="read only the start of each book")
         job.add_argument(
             "--list-unreadable",
             action="store_true",
@@ -53,7 +52,7 @@ def _parser() -> argparse.ArgumentParser:
 def _books(spark, options):
     if options.list_unreadable:
         unreadable_books(spark, options.source).show(truncate=False)
-    return books(spark, options.source, max_chars=options.max_chars)
+    return books(spark, options.source)
 
 
 def _word_count(spark, options) -> None:

@@ -54,35 +54,14 @@ def author_book_counts(spellings: DataFrame) -> DataFrame:
     )
 
 
-def author_variants(author_table: DataFrame, max_list: int = 10_000) -> DataFrame:
-    """``(author_norm, book_count, part, name_variants)``: the names as written,
-    one entry per book, sorted.
-
-    A key with more than ``max_list`` books continues on further rows, numbered
-    by ``part``. Names without Latin letters all share the empty key, and no
-    task should hold those in one array.
-    """
+def author_variants(author_table: DataFrame) -> DataFrame:
+    """``(author_norm, book_count, author_original, copies)``: one row for each spelling
+    of a key, with the books of the key and of the spelling."""
     spellings = materialize(author_spellings(author_table), "spellings")
     totals = materialize(author_book_counts(spellings), "author-totals")
-    pieces = (
-        lookup_join(spellings, totals, ["author_norm"], "spellings")
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), _whole_lists("copies", max_list) - 1)))
-        .withColumn("entries", F.least(F.lit(max_list), F.col("copies") - F.col("piece") * max_list))
-        .withColumn(
-            "part",
-            F.pmod(F.xxhash64("author_original") + F.col("piece"), _whole_lists("book_count", max_list)),
-        )
-    )
-    written = F.array_repeat(F.col("author_original"), F.col("entries").cast("int"))
-    return (
-        pieces.groupBy("author_norm", "book_count", "part")
-        .agg(F.array_sort(F.flatten(F.collect_list(written))).alias("name_variants"))
-        .orderBy(F.desc("book_count"), "author_norm", "part")
-    )
-
-
-def _whole_lists(column: str, size: int) -> Column:
-    return F.ceil(F.col(column) / size)
+    joined = lookup_join(spellings, totals, ["author_norm"], "spellings")
+    found = joined.select("author_norm", "book_count", "author_original", "copies")
+    return found.orderBy(F.desc("book_count"), "author_norm", "author_original")
 
 
 def nodes(author_table: DataFrame) -> DataFrame:

@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_counts(counts: DataFrame, path: str) -> None:
-    """Key, tab, count; fails if ``path`` exists."""
-    counts.write.mode("errorifexists").csv(path, sep="\t")
+    """Key, tab, count; fails if ``path`` exists. Words are written as they are: a
+    vertical tab at an end is part of one."""
+    line = F.concat_ws("\t", "word", F.col("count").cast("string"))
+    counts.select(line.alias("value")).write.mode("errorifexists").text(path)
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("word STRING, count BIGINT").csv(path, sep="\t")
+    parts = F.split("value", "\t")
+    return spark.read.schema("value STRING").text(path).select(
+        F.get(parts, F.lit(0)).alias("word"), F.get(parts, F.lit(1)).cast("bigint").alias("count")
+    )
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -42,15 +42,13 @@ def books(
     spark: SparkSession,
     path: str,
     suffix: str = ".txt",
-    max_chars: int | None = None,
     skip_unreadable: bool = True,
 ) -> DataFrame:
     """One row per file directly under ``path`` whose name ends in ``suffix``.
 
     Spark passes over files of no bytes and names that start with '.' or '_'.
     Bytes that are not UTF-8 are dropped and all line ends become LF. No file
-    gives no rows, with the same schema. ``max_chars`` keeps the start of each
-    text; by default the text is whole. With ``skip_unreadable`` a file that
+    gives no rows, with the same schema. With ``skip_unreadable`` a file that
     cannot be read is left out; :func:`unreadable_books` names those.
     """
     reader = (
@@ -64,8 +62,6 @@ def books(
         # folders named key=value below would be read in place of the files here
         raw = reader.text(f"{path}/{names}", wholetext=True)
     text = unix_newlines(valid_text(F.col("value")))
-    if max_chars is not None:
-        text = F.substring(text, 1, max_chars)
     return raw.select(file_name().alias("file_name"), text.alias("text"))
 
 

@@ -1,9 +1,7 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
-from corpusloom.functions.text import main_content
 from corpusloom.operators.word_count import sorted_word_count
 from corpusloom.plans import word_count as plan
 from corpusloom.sinks import files as sinks
@@ -50,21 +48,6 @@ def test_folders_named_like_partitions_do_not_hide_books(spark, tmp_path):
     assert loaded(sources.books(spark, str(tmp_path))) == {"a.txt": "x"}
 
 
-def test_max_chars_counts_characters_after_decoding(spark, folder):
-    found = loaded(sources.books(spark, str(folder), max_chars=5))
-    assert found["a b.txt"] == "one\nt"
-    assert found["bad.txt"] == "ab�c\x1a"
-
-
-def test_a_cap_comes_before_the_markers_are_looked_up(spark, tmp_path):
-    (tmp_path / "long.txt").write_text("*** START OF x\n" + "y" * 60_000 + "\n*** END OF x\n")
-    whole = sources.books(spark, str(tmp_path))
-    capped = sources.books(spark, str(tmp_path), max_chars=50_000)
-    content = F.length(main_content(F.col("text")))
-    assert whole.select(content).first()[0] == 60_016
-    assert capped.select(content).first()[0] == 50_000
-
-
 def test_empty_folder_gives_a_typed_empty_table(spark, tmp_path):
     found = sources.books(spark, str(tmp_path))
     assert found.count() == 0
@@ -116,6 +99,13 @@ def test_word_count_files_are_sorted_and_never_replaced(spark, tmp_path):
         plan.run(spark, str(source), target, 1024)
 
 
+def test_vertical_tabs_stay_part_of_words(spark, tmp_path):
+    (tmp_path / "in.txt").write_text("\x0ba a b\x0b b\n")
+    plan.run(spark, str(tmp_path / "in.txt"), str(tmp_path / "out"))
+    found = {(r["word"], r["count"]) for r in sinks.read_counts(spark, str(tmp_path / "out")).collect()}
+    assert found == {("\x0ba", 1), ("a", 1), ("b\x0b", 1), ("b", 1)}
+
+
 def test_split_sweep_times_each_size(spark, tmp_path):
     source = tmp_path / "in.txt"
     source.write_text("b a\n" * 100)

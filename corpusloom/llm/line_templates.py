@@ -13,40 +13,58 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import id_and_text, join_by_share, let, words
+from corpusloom.llm.common import id_and_text, join_by_share, let
 from corpusloom.workspace import materialize
 
 DEPTH = 3
 CONSTANT = 0.8
 FIELD = "<*>"
-
-
-def masked(line: Column) -> Column:
-    return F.transform(words(line), lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
+WITH_DIGIT = r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+MAX_BROADCAST = 500_000
+# A form is compared by two independent hashes.
+KEY = {"a": "xxhash64(form)", "b": "xxhash64(1, form)"}
 
 
 def lines(docs: DataFrame, depth: int) -> DataFrame:
-    """``(doc_id, line, form)`` of the lines with more than ``depth`` tokens."""
-    split = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "value"))
-    formed = split.select("doc_id", "line", masked(F.col("value")).alias("tokens"))
-    long = formed.filter(F.size("tokens") > depth)
-    return long.select("doc_id", "line", F.array_join("tokens", " ").alias("form"))
+    """``(doc_id, line, form, tokens, leaf)`` of the lines with more than ``depth``
+    tokens; ``form`` has one blank between tokens and a field for each with a digit."""
+    text = F.col("text")
+    fields = F.regexp_replace(text, WITH_DIGIT, FIELD)
+    fielded = F.when(text.rlike("[0-9]"), fields).otherwise(text)
+    plain = F.translate(fielded, "\t\x0b\x0c\r", "    ")
+    single = F.when(
+        F.contains("plain", F.lit("  ")), F.regexp_replace("plain", " {2,}", " ")
+    ).otherwise(F.col("plain"))
+    # steps of their own, so that neither is computed once for each use
+    stepped = docs.select("doc_id", plain.alias("plain")).select("doc_id", single.alias("text"))
+    split = stepped.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "value"))
+    form = F.trim("value")
+    formed = split.select("doc_id", "line", form.alias("form")).withColumn(
+        "tokens", F.length("form") - F.length(F.replace("form", F.lit(" "), F.lit(""))) + 1
+    )
+    leaf = F.xxhash64("tokens", F.substring_index("form", " ", depth))
+    return formed.filter(F.col("tokens") > depth).withColumn("leaf", leaf)
 
 
-def templates(forms: DataFrame, depth: int, constant: float) -> DataFrame:
-    """``(form, first_doc, last_doc, n)`` with the first and last document of the
-    template of each form that recurs, ``n`` the lines of the form.
+def templates(forms: DataFrame, found: DataFrame, constant: float) -> DataFrame:
+    """``(a, b, first_doc, n)`` with the first document of the template of each form
+    that recurs, ``n`` the lines of the form.
 
-    A form's tokens are visited again only in leaves with more than one form.
+    ``forms`` has the forms by hash, ``found`` the lines they come from, whose tokens
+    are looked at again only in leaves with more than one form.
     """
-    tokens = F.split("form", " ")
-    leaf = F.xxhash64(F.size(tokens), F.slice(tokens, 1, depth))
-    placed = materialize(forms.withColumn("leaf", leaf), "forms")
-    crowded = placed.groupBy("leaf").agg(F.count("*").alias("forms")).filter("forms > 1")
+    crowded = forms.groupBy("leaf").agg(F.count("*").alias("forms")).filter("forms > 1")
     crowded = materialize(crowded, "leaves")
-
-    each = placed.join(crowded, "leaf").select(
-        "leaf", "forms", F.size(tokens).alias("size"), F.posexplode(tokens).alias("place", "token")
+    if crowded.count() <= MAX_BROADCAST:  # 16 bytes each; beyond that the join shuffles
+        crowded = F.broadcast(crowded)
+    spelled = found.join(crowded, "leaf").groupBy("form", "leaf", "forms").agg(F.lit(1).alias("x"))
+    key = [F.expr(hashed).alias(name) for name, hashed in KEY.items()]
+    # written with its tokens, which would be split again for each of them otherwise
+    tokens = F.split("form", " ").alias("tokens")
+    spelled = materialize(spelled.select(tokens, "leaf", "forms", *key), "forms")
+
+    each = spelled.select(
+        "leaf", "forms", F.size("tokens").alias("size"), F.posexplode("tokens").alias("place", "token")
     )
     counted = each.groupBy("leaf", "forms", "size", "place", "token").agg(F.count("*").alias("n"))
     # more than half of the forms of a leaf agree on at most one token of a place
@@ -57,19 +75,18 @@ def templates(forms: DataFrame, depth: int, constant: float) -> DataFrame:
     general = kept.filter(F.size("kept") >= constant * F.col("size"))
     general = materialize(general.select("leaf", "kept"), "templates")
 
-    shaped = placed.join(general, "leaf", "left")
-    fits = F.forall("kept", lambda k: F.get(F.split("form", " "), k["place"]) == k["token"])
-    shaped = shaped.withColumn("fits", F.col("kept").isNotNull() & fits).drop("kept")
-    shaped = materialize(shaped, "shaped")
-    of_general = (
+    agrees = F.forall("kept", lambda k: F.get("tokens", k["place"]) == k["token"])
+    fitting = spelled.join(general, "leaf").filter(agrees).select("a", "b", F.lit(True).alias("fits"))
+    shaped = materialize(forms.join(fitting, ["a", "b"], "left"), "shaped")
+    together = (
         shaped.filter("fits")
         .groupBy("leaf")
         .agg(F.min("first_doc").alias("first"), F.max("last_doc").alias("last"))
     )
-    alone = shaped.filter("not fits").select("form", "first_doc", "last_doc", "n")
-    joined = shaped.filter("fits").join(of_general, "leaf")
-    joined = joined.select("form", F.col("first").alias("first_doc"), F.col("last").alias("last_doc"), "n")
-    return alone.unionByName(joined).filter("first_doc < last_doc")
+    joined = shaped.filter("fits").join(together, "leaf")
+    joined = joined.select("a", "b", F.col("first").alias("first_doc"), F.col("last").alias("last_doc"), "n")
+    alone = shaped.filter("fits is null").select("a", "b", "first_doc", "last_doc", "n")
+    return alone.unionByName(joined).filter("first_doc < last_doc").select("a", "b", "first_doc", "n")
 
 
 def line_dedup(docs: DataFrame, depth: int = DEPTH, constant: float = CONSTANT) -> DataFrame:
@@ -83,15 +100,14 @@ def line_dedup(docs: DataFrame, depth: int = DEPTH, constant: float = CONSTANT)
     """
     rows = id_and_text(docs)
     found = lines(rows.filter("doc_id is not null"), depth)
-    forms = found.groupBy("form").agg(
+    placed = materialize(found.select("doc_id", "line", "leaf", *[F.expr(hashed).alias(name) for name, hashed in KEY.items()]), "lines")
+    forms = placed.groupBy("a", "b", "leaf").agg(
         F.min("doc_id").alias("first_doc"),
         F.max("doc_id").alias("last_doc"),
         F.count("*").alias("n"),
     )
-    key = [F.xxhash64("form").alias("a"), F.xxhash64(F.lit(1), "form").alias("b")]
-    recurring = templates(forms, depth, constant).select(*key, "first_doc", "n")
-    recurring = materialize(recurring, "recurring")
-    placed = materialize(found.select("doc_id", "line", *key), "lines")
+    forms = materialize(forms, "form-counts")
+    recurring = materialize(templates(forms, found, constant), "recurring")
     met = join_by_share(placed, recurring, ["a", "b"], "n", placed.count())
     dropped = (
         met.filter("first_doc < doc_id")

@@ -2,9 +2,10 @@
 
 Every window of 50 bytes has an anchor, the 20-byte string in it whose hash is least, so
 equal windows have equal anchors. Anchors that occur in one document only are out; a
-filter of fixed size, built on the executors, tells which may occur in more. For those,
-the text of the windows that share the anchor is the context of the occurrence, 50 to 80
-bytes. Equal contexts are one from there on, with their smallest document.
+filter of fixed size, built on the executors from sorted runs of cut hashes, tells which
+may occur in more. For those, the text of the windows that share the anchor is the
+context of the occurrence, 50 to 80 bytes. Equal contexts are one from there on, with
+their smallest document; their bytes move only where an anchor has several.
 
 Contexts with one anchor, if they are several, are sorted by suffix in two stages: only
 suffixes smaller than their successors are compared, all others follow from these in one
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import id_and_text, join_by_share, ship_package, shuffle_partitions
@@ -30,9 +31,14 @@ WINDOW = 50
 GRAM = 20
 FILTER_BITS = 27
 PIECES = 64
+# Anchors are told apart by so many bits where they are counted, in runs of so many.
+CODE_BITS = 40
+RUN = 4_000_000
 # Anchors with more contexts than this are compared window by window, by shuffle.
 MANY = 5_000
 CHUNK = 300_000
+# Runs of removed bytes are broadcast up to this number, 16 bytes each.
+MAX_BROADCAST = 2_000_000
 
 
 def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,17 +68,79 @@ def _bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8"), "u1")
 
 
-def _anchor_rows(rows: DataFrame) -> DataFrame:
+def _codes(grams: np.ndarray) -> np.ndarray:
+    return mixed(grams.view("u8")) >> np.uint64(64 - CODE_BITS)
+
+
+def _bucket_bits(spark: SparkSession) -> int:
+    """Buckets of codes: as many as a shuffle has partitions, 256 at least."""
+    return min(max(8, (shuffle_partitions(spark) - 1).bit_length()), 20)
+
+
+def _sorted_runs(rows: DataFrame, bits: int) -> DataFrame:
+    """``(bucket, codes)``: a task's codes by their first ``bits``, sorted, as compressed
+    differences. A code that two documents of a run have is there twice."""
+
+    def packed(held: list[np.ndarray]) -> pd.DataFrame:
+        codes = np.sort(np.concatenate(held))
+        codes = codes[np.append([True] * min(2, len(codes)), codes[2:] != codes[:-2])]
+        low = np.arange(1 << bits, dtype="u8") << np.uint64(CODE_BITS - bits)
+        edges = np.append(np.searchsorted(codes, low), len(codes)).tolist()
+        found = []
+        for i, (begin, end) in enumerate(zip(edges, edges[1:], strict=False)):
+            if begin < end:
+                steps = np.diff(codes[begin:end], prepend=low[i]).astype("<u4")
+                planes = np.ascontiguousarray(steps.view("u1").reshape(-1, 4).T)
+                found.append((i, zlib.compress(planes.tobytes(), 1)))
+        return pd.DataFrame(found, columns=["bucket", "codes"])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
         for batch in batches:
-            found = [np.unique(anchors(_bytes(t))[0]) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "grams": found})
+            for text in batch["text"]:
+                held.append(np.unique(_codes(anchors(_bytes(text))[0])))
+                size += len(held[-1])
+                if size >= RUN:
+                    yield packed(held)
+                    held, size = [], 0
+        if size:
+            yield packed(held)
+
+    return rows.mapInPandas(run, "bucket INT, codes BINARY")
+
+
+def _shared_codes(rows: DataFrame) -> np.ndarray:
+    """One bit for the first bits of a code, set if two documents may have the code."""
+    bits = _bucket_bits(rows.sparkSession)
+    size = 1 << (FILTER_BITS - bits)
+
+    def mark(key: tuple, held: pd.DataFrame) -> pd.DataFrame:
+        runs = []
+        for packed in held["codes"]:
+            planes = np.frombuffer(zlib.decompress(packed), "u1").reshape(4, -1)
+            runs.append(np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype="u8"))
+        codes = np.sort(np.concatenate(runs))
+        cells = codes[1:][codes[1:] == codes[:-1]] >> np.uint64(CODE_BITS - FILTER_BITS)
+        marks = np.zeros(size, bool)
+        marks[cells.astype("i8")] = True
+        return pd.DataFrame(
+            [(key[0], zlib.compress(np.packbits(marks).tobytes(), 1))], columns=["bucket", "bits"]
+        )
+
+    marked = _sorted_runs(rows, bits).groupBy("bucket").applyInPandas(mark, "bucket INT, bits BINARY")
+    found = np.zeros((1 << bits, size // 8), "u1")
+    for row in marked.collect():  # of a fixed size
+        found[row["bucket"]] = np.frombuffer(zlib.decompress(row["bits"]), "u1")
+    return found.reshape(-1)
+
 
-    return rows.mapInPandas(run, "doc_id BIGINT, grams ARRAY<BIGINT>")
+def _is_set(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    places = cells.astype("i8")
+    return (bits[places >> 3] >> (7 - (places & 7)).astype("u1")) & 1 == 1
 
 
 def _filter(shared: DataFrame) -> np.ndarray:
-    """One bit for each value of the low bits of a hash that two documents share."""
+    """One bit for each value of the low bits of the ``gram`` of a row."""
     width = (1 << FILTER_BITS) // PIECES
 
     def mark(key: tuple, held: pd.DataFrame) -> pd.DataFrame:
@@ -99,19 +167,28 @@ def _occurrences(rows: DataFrame, bits: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        held = np.unpackbits(shared.value).view(bool)
         for batch in batches:
-            found = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 whole = text.encode("utf-8")
                 grams, first, last = anchors(np.frombuffer(whole, "u1"))
-                for i in np.flatnonzero(held[grams & ((1 << FILTER_BITS) - 1)]):
-                    context = whole[first[i] : last[i] + WINDOW]
-                    id_ = int(np.uint64(xxhash.xxh64_intdigest(context)).view("i8"))
-                    row = (int(grams[i]), id_, doc_id, int(first[i]), int(last[i] - first[i] + 1))
-                    found.append((*row, context))
-            names = ["gram", "context_id", "doc_id", "start", "windows", "context"]
-            yield pd.DataFrame(found, columns=names)
+                cells = _codes(grams) >> np.uint64(CODE_BITS - FILTER_BITS)
+                passed = _is_set(shared.value, cells)
+                grams, first, last = grams[passed], first[passed], last[passed]
+                if not len(grams):
+                    continue
+                ends = (last + WINDOW).tolist()
+                contexts = [whole[a:b] for a, b in zip(first.tolist(), ends, strict=True)]
+                ids = np.array([xxhash.xxh64_intdigest(c) for c in contexts], "u8").view("i8")
+                yield pd.DataFrame(
+                    {
+                        "gram": grams,
+                        "context_id": ids,
+                        "doc_id": doc_id,
+                        "start": first,
+                        "windows": (last - first + 1).astype("i4"),
+                        "context": contexts,
+                    }
+                )
 
     schema = (
         "gram BIGINT, context_id BIGINT, doc_id BIGINT, start BIGINT, windows INT, context BINARY"
@@ -119,6 +196,23 @@ def _occurrences(rows: DataFrame, bits: np.ndarray) -> DataFrame:
     return rows.mapInPandas(run, schema)
 
 
+def _with_context(found: DataFrame, bits: np.ndarray) -> DataFrame:
+    """``(gram, context_id, first, context)`` of the anchors in ``bits``."""
+    shared = found.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            cells = batch["gram"].to_numpy() & ((1 << FILTER_BITS) - 1)
+            yield batch[_is_set(shared.value, cells)]
+
+    names = ["gram", "context_id", "doc_id", "context"]
+    schema = "gram BIGINT, context_id BIGINT, doc_id BIGINT, context BINARY"
+    held = found.select(*names).mapInPandas(run, schema)
+    return held.groupBy("gram", "context_id").agg(
+        F.min("doc_id").alias("first"), F.min("context").alias("context")
+    )
+
+
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in order, compared by their first ``depth`` symbols at least; the last
     symbol must be the only least one. Suffixes smaller than their successors are sorted
@@ -167,7 +261,7 @@ def first_documents(contexts: list[bytes], docs: np.ndarray) -> list[np.ndarray]
     starts = np.zeros(len(text), bool)
     for begin, size in zip(begins, sizes, strict=True):
         starts[begin : begin + size - WINDOW + 1] = True
-    order = suffix_array(text, int(sizes.max()) + 1)
+    order = suffix_array(text, WINDOW)
     order = order[starts[order]]
     common = _common_prefixes(text, order)
     run = np.flatnonzero(np.append(True, common < WINDOW))
@@ -191,7 +285,8 @@ def _common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 def _sorted_groups(contexts: DataFrame) -> DataFrame:
-    """``(gram, context_id, firsts)`` for anchors with several contexts."""
+    """``(gram, context_id, firsts)`` of contexts with a window that another one has in
+    an earlier document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -213,8 +308,10 @@ def _sorted_groups(contexts: DataFrame) -> DataFrame:
             yield solved(pd.concat(held))
 
     def solved(held: pd.DataFrame) -> pd.DataFrame:
-        firsts = first_documents(list(held["context"]), held["first"].to_numpy("i8"))
-        return held[["gram", "context_id"]].assign(firsts=firsts)
+        own = held["first"].to_numpy("i8")
+        firsts = first_documents(list(held["context"]), own)
+        earlier = np.array([f.min() for f in firsts]) < own
+        return held[["gram", "context_id"]].assign(firsts=firsts)[earlier]
 
     slots = shuffle_partitions(contexts.sparkSession)
     dealt = contexts.repartition(slots, "gram").sortWithinPartitions("gram")
@@ -234,41 +331,60 @@ def _by_window(contexts: DataFrame) -> DataFrame:
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
-    """``(doc_id, starts)``: sorted starts of the windows that an earlier document has."""
-    passed = _anchor_rows(rows).select("doc_id", F.explode("grams").alias("gram"))
-    ends = passed.groupBy("gram").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-    shared = materialize(ends.filter("a < b").select("gram"), "shared-anchors")
-    found = materialize(_occurrences(rows, _filter(shared)), "occurrences")
-
+    """``(doc_id, begins, ends)``: the bytes that an earlier document has, as runs."""
+    found = materialize(_occurrences(rows, _shared_codes(rows)), "occurrences")
     key = ["gram", "context_id"]
     contexts = found.groupBy(*key).agg(
-        F.min("doc_id").alias("first"),
-        F.max("doc_id").alias("last"),
-        F.count("*").alias("n"),
-        F.min("context").alias("context"),
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")
     )
     contexts = materialize(contexts, "contexts")
     sizes = contexts.groupBy("gram").agg(F.count("*").alias("size")).filter("size > 1")
-    several = materialize(contexts.join(sizes, "gram"), "several")
-    few = _sorted_groups(several.filter(F.col("size") <= MANY))
-    firsts = materialize(few.unionByName(_by_window(several.filter(F.col("size") > MANY))), "firsts")
-
-    lookup = contexts.select(*key, "first", "last", "n").join(firsts, key, "left")
-    lookup = lookup.filter("firsts is not null or first < last")
+    sizes = materialize(sizes, "sizes")
+    several = materialize(_with_context(found, _filter(sizes)), "several")
+    crowded = sizes.filter(F.col("size") > MANY).select("gram")
+    n_crowded = crowded.count()
+    if n_crowded:
+        if n_crowded <= MAX_BROADCAST:
+            crowded = F.broadcast(crowded)
+        few = _sorted_groups(several.join(crowded, "gram", "left_anti"))
+        firsts = few.unionByName(_by_window(several.join(crowded, "gram", "left_semi")))
+    else:
+        firsts = _sorted_groups(several)
+    firsts = materialize(firsts, "firsts")
+
+    lookup = contexts.join(firsts, key, "left").filter("firsts is not null or first < last")
     lookup = materialize(lookup.select(*key, "first", "n", "firsts"), "repeats")
     narrow = found.select(*key, "doc_id", "start", "windows")
     met = join_by_share(narrow, lookup, key, "n", found.count()).filter("n is not null")
+
+    def span(begin: Column, windows: Column) -> Column:
+        end = begin + windows + (WINDOW - 1)
+        return F.struct(begin.alias("begin"), end.cast("bigint").alias("end"))
+
     every = F.sequence(F.lit(0), F.col("windows") - 1)
-    later = F.filter(
-        every, lambda j: F.coalesce(F.get("firsts", j), F.col("first")) < F.col("doc_id")
+    later = F.filter(every, lambda j: F.get("firsts", j) < F.col("doc_id"))
+    whole = F.when(F.col("first") < F.col("doc_id"), F.array(span(F.col("start"), F.col("windows"))))
+    spans = F.when(F.col("firsts").isNull(), whole).otherwise(
+        F.transform(later, lambda j: span(F.col("start") + j, F.lit(1)))
     )
-    starts = F.transform(later, lambda j: F.col("start") + j)
-    spans = met.withColumn("starts", starts).filter(F.size("starts") > 0)
-    return spans.groupBy("doc_id").agg(
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts")
+    spans = met.select("doc_id", spans.alias("spans")).filter(F.size("spans") > 0)
+    by_document = spans.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return by_document.select("doc_id", "spans.begin", "spans.end").mapInPandas(
+        _merged, "doc_id BIGINT, begins ARRAY<BIGINT>, ends ARRAY<BIGINT>"
     )
 
 
+def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        out = []
+        for doc_id, begin, end in zip(batch["doc_id"], batch["begin"], batch["end"], strict=True):
+            order = np.argsort(begin, kind="stable")
+            begins, reach = np.asarray(begin)[order], np.maximum.accumulate(np.asarray(end)[order])
+            new = np.append(True, begins[1:] > reach[:-1])
+            out.append((doc_id, begins[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(reach) - 1)]))
+        yield pd.DataFrame(out, columns=["doc_id", "begins", "ends"])
+
+
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept)`` of each row: its size, the bytes
     removed, the runs they make, and the bytes that remain.
@@ -282,20 +398,22 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     rows = id_and_text(docs)
     spans = materialize(repeated_spans(rows.filter("doc_id is not null")), "spans")
 
+    n_runs = spans.agg(F.sum(F.size("begins"))).first()[0] or 0
+    if n_runs <= MAX_BROADCAST:  # beyond that the texts shuffle
+        spans = F.broadcast(spans)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for text, starts in zip(batch["text"], batch["starts"], strict=True):
-                raw = _bytes(text)
-                # the last byte is there so that every start and end has its place
-                edges = np.zeros(len(raw) + 1, "i8")
-                if starts is not None and len(starts):
-                    at = np.asarray(starts, "i8")
-                    np.add.at(edges, at, 1)
-                    np.add.at(edges, at + WINDOW, -1)
-                gone = np.cumsum(edges)[:-1] > 0
-                runs = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                out.append((len(raw), int(gone.sum()), runs, raw[~gone].tobytes()))
+            for text, begins, ends in zip(batch["text"], batch["begins"], batch["ends"], strict=True):
+                raw = text.encode("utf-8")
+                kept, past = [], 0
+                runs = [] if begins is None else list(zip(begins, ends, strict=True))
+                for begin, end in runs:
+                    kept.append(raw[past:begin])
+                    past = end
+                kept = b"".join([*kept, raw[past:]])
+                out.append((len(raw), len(raw) - len(kept), len(runs), kept))
             frame = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
             frame["doc_id"] = batch["doc_id"].astype("Int64").to_numpy()
             yield frame.astype({"doc_id": "Int64"})

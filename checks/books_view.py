@@ -15,8 +15,11 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 def books(spark: SparkSession, folder: str) -> DataFrame:
     """``(file_name, text)``; some books lack a title, an author or a date."""
     part = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand")
+    titles = part.filter(F.col("p_partkey").between(0, 99))  # one row a key
     number = F.col("doc_id")
-    joined = documents(spark, folder).join(part, F.col("p_partkey") == number % 100)
+    joined = documents(spark, folder).join(
+        F.broadcast(titles), F.col("p_partkey") == number % 100
+    )
     author = F.concat(
         _every(5, F.lit("by ")),
         F.lit("Writer "),

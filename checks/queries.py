@@ -79,7 +79,9 @@ def metadata_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def metadata_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return first_rows(book_metadata(spark, folder), 10, "file_name", 30)
+    # header fields are taken from the ten texts only
+    first = books(spark, folder).orderBy("file_name").limit(10)
+    return first_rows(meta.book_metadata(first), 10, "file_name", 30)
 
 
 def _of_metadata(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -116,7 +118,7 @@ def _network(use: Callable[[influence.InfluenceNetwork], DataFrame]) -> Query:
 
 def edges_csv(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "network-csv")
-    influence.network(books(spark, folder)).save(path)
+    influence.network(books(spark, folder)).save(path, edges=True)
     return spark.read.schema(EDGES_SCHEMA).csv(f"{path}/edges")
 
 

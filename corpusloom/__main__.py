@@ -45,6 +45,8 @@ def _parser() -> argparse.ArgumentParser:
         if name == "similarity":
             job.add_argument("--book", default=similarity.TARGET)
             job.add_argument("--exact", action="store_true", help="do not hash terms")
+        if name == "network":
+            job.add_argument("--edges", action="store_true", help="write every edge, quadratic")
         job.set_defaults(run=run)
     return parser
 
@@ -74,6 +76,7 @@ def _metadata(spark, options) -> None:
 def _similarity(spark, options) -> None:
     compare = similarity.exact if options.exact else similarity.hashed
     found = compare(_books(spark, options), options.book)
+    print(f"compared with {found.target}")
     found.top().show(truncate=False)
     found.save(options.target)
 
@@ -85,7 +88,7 @@ def _network(spark, options) -> None:
         influential.show(truncate=False)
         influenced.show(truncate=False)
     found.sweep().show()
-    found.save(options.target)
+    found.save(options.target, edges=options.edges)
 
 
 if __name__ == "__main__":

@@ -89,6 +89,8 @@ def hashed_vectors(
         ),
         "hashed-counts",
     )
+    if counted.isEmpty():  # there is nothing to fit
+        return counted.withColumnRenamed("tf_features", "norm_features")
     idf = IDF(inputCol="tf_features", outputCol="tfidf_features", minDocFreq=min_df)
     weighted = idf.fit(counted).transform(counted)
     unit = Normalizer(inputCol="tfidf_features", outputCol="norm_features", p=2.0)
@@ -105,12 +107,12 @@ def vector_similarity(vectors: DataFrame, target: str) -> DataFrame:
     of_target = entries.filter((F.col("file_name") == target) & (F.col("weight") != 0)).select(
         "bucket", F.col("weight").alias("target_weight")
     )
-    products = (
-        entries.filter(F.col("file_name") != target)
-        .join(F.broadcast(of_target), "bucket", "left")
-        .withColumn("product", F.coalesce(F.col("weight") * F.col("target_weight"), F.lit(0.0)))
-    )
-    return products.groupBy("file_name").agg(F.sum("product").alias("similarity"))
+    product = (F.col("weight") * F.col("target_weight")).alias("product")
+    products = entries.join(F.broadcast(of_target), "bucket").select("file_name", product)
+    # a book that shares no bucket has this row only
+    none = vectors.select("file_name", F.lit(0.0).alias("product"))
+    others = products.unionByName(none).filter(F.col("file_name") != target)
+    return others.groupBy("file_name").agg(F.sum("product").alias("similarity"))
 
 
 def vector_entries(vectors: DataFrame) -> DataFrame:

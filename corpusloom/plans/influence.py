@@ -59,10 +59,11 @@ class InfluenceNetwork:
     def sweep(self, windows: Sequence[int] = op.WINDOWS) -> DataFrame:
         return op.window_sweep(op.book_years(self.nodes), windows, BASE_WINDOW)
 
-    def save(self, folder: str, window: int = BASE_WINDOW) -> None:
-        """Edges, out-degrees and in-degrees under ``folder``. The edges are
-        quadratic in the nodes; the degrees are not computed from them."""
-        write_csv(self.edges(window), f"{folder}/edges")
+    def save(self, folder: str, window: int = BASE_WINDOW, edges: bool = False) -> None:
+        """Out-degrees and in-degrees under ``folder``. With ``edges`` also the edges,
+        which are quadratic in the nodes; the degrees are not computed from them."""
+        if edges:
+            write_csv(self.edges(window), f"{folder}/edges")
         write_csv(self.out_degree(window), f"{folder}/out_degree")
         write_csv(self.in_degree(window), f"{folder}/in_degree")
 

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.operators.word_count import sorted_word_count, word_count
+from corpusloom.operators.word_count import sorted_word_count
 from corpusloom.sinks.files import write_counts
 from corpusloom.sources.files import lines
+from corpusloom.workspace import new_path
 
 # The split sizes of the experiment, in bytes. None leaves the
 # session's own setting, 128 MB by default.
@@ -30,11 +31,11 @@ def _milliseconds(begin: float) -> int:
 def split_sweep(
     spark: SparkSession, source: str, sizes: Sequence[int | None] = SPLIT_SIZES
 ) -> DataFrame:
-    """``(split_bytes, partitions, ms)``: the same count timed for each size."""
+    """``(split_bytes, partitions, ms)``: the same count, written, timed for each size
+    after one that is not."""
+    run(spark, source, new_path(spark, "sweep"))
     measured = []
     for size in sizes:
-        text = lines(spark, source, size)
-        begin = time.perf_counter()
-        word_count(text).write.format("noop").mode("overwrite").save()
-        measured.append((size, text.rdd.getNumPartitions(), _milliseconds(begin)))
+        spent = run(spark, source, new_path(spark, "sweep"), size)
+        measured.append((size, lines(spark, source, size).rdd.getNumPartitions(), spent))
     return spark.createDataFrame(measured, "split_bytes BIGINT, partitions INT, ms BIGINT")

@@ -21,7 +21,7 @@ def test_jobs_over_a_folder_of_books(spark, tmp_path, capsys):
     for more in ([], ["--exact"]):
         main(["similarity", str(corpus), str(tmp_path / "similar"), "--book", "3.txt", *more])
         assert parts(tmp_path / "similar").startswith("Top 5 books similar to 3.txt:\n")
-    main(["network", str(corpus), str(tmp_path / "net")])
+    main(["network", str(corpus), str(tmp_path / "net"), "--edges"])
     assert parts(tmp_path / "net" / "edges").count("\n") > 0
     shown = capsys.readouterr().out
     assert " ms\n" in shown

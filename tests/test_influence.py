@@ -141,7 +141,7 @@ def test_saved_network(spark, tmp_path):
     ]
     books = spark.createDataFrame(texts, "file_name STRING, text STRING")
     network = plan.network(books)
-    network.save(str(tmp_path))
+    network.save(str(tmp_path), edges=True)
     edges = spark.read.csv(f"{tmp_path}/edges")
     assert edges.count() == network.edges().count() > 0
     degrees = spark.read.schema("a STRING, n BIGINT").csv(f"{tmp_path}/out_degree")

@@ -132,11 +132,20 @@ def test_a_book_without_text_scores_zero(spark):
         assert found == {"b": pytest.approx(1.0), "c": 0.0, "d": 0.0}
 
 
-def test_no_books(spark):
+@pytest.mark.parametrize("compare", [plan.exact, plan.hashed])
+def test_no_books(spark, compare):
     none = spark.createDataFrame([], "file_name STRING, text STRING")
-    report = plan.exact(none)
+    report = compare(none)
     assert report.target is None
-    assert report.similarities.count() == 0
+    assert report.similarities.dtypes == [("file_name", "string"), ("similarity", "double")]
+    assert report.similarities.count() == report.top().count() == 0
+
+
+def test_hashed_scores_of_books_without_a_common_term(spark):
+    texts = [("a.txt", "whale ship"), ("b.txt", "whale ship"), ("c.txt", "moor heath"), ("d.txt", "")]
+    found = plan.hashed(spark.createDataFrame(texts, "file_name STRING, text STRING"), "a.txt")
+    scores = {r["file_name"]: r["similarity"] for r in found.similarities.collect()}
+    assert scores == {"b.txt": pytest.approx(1), "c.txt": 0, "d.txt": 0}
 
 
 def test_one_pass_tokens_equal_the_steps(books):

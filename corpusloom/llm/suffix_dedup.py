@@ -34,6 +34,8 @@ PIECES = 64
 # Anchors are told apart by so many bits where they are counted, in runs of so many.
 CODE_BITS = 40
 RUN = 4_000_000
+# Rows of occurrences that a task hands over at once.
+SLICE = 50_000
 # Anchors with more contexts than this are compared window by window, by shuffle.
 MANY = 5_000
 CHUNK = 300_000
@@ -167,28 +169,24 @@ def _occurrences(rows: DataFrame, bits: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
+        names = ["gram", "doc_id", "start", "windows"]
         for batch in batches:
+            held, contexts = [np.zeros((len(names), 0), "i8")], []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 whole = text.encode("utf-8")
                 grams, first, last = anchors(np.frombuffer(whole, "u1"))
                 cells = _codes(grams) >> np.uint64(CODE_BITS - FILTER_BITS)
                 passed = _is_set(shared.value, cells)
                 grams, first, last = grams[passed], first[passed], last[passed]
-                if not len(grams):
-                    continue
+                held.append(np.stack([grams, np.full(len(grams), doc_id), first, last - first + 1]))
                 ends = (last + WINDOW).tolist()
-                contexts = [whole[a:b] for a, b in zip(first.tolist(), ends, strict=True)]
-                ids = np.array([xxhash.xxh64_intdigest(c) for c in contexts], "u8").view("i8")
-                yield pd.DataFrame(
-                    {
-                        "gram": grams,
-                        "context_id": ids,
-                        "doc_id": doc_id,
-                        "start": first,
-                        "windows": (last - first + 1).astype("i4"),
-                        "context": contexts,
-                    }
-                )
+                contexts += [whole[a:b] for a, b in zip(first.tolist(), ends, strict=True)]
+            frame = pd.DataFrame(dict(zip(names, np.concatenate(held, axis=1), strict=True)))
+            ids = np.array([xxhash.xxh64_intdigest(c) for c in contexts], "u8").view("i8")
+            frame = frame.assign(context_id=ids, context=pd.Series(contexts, dtype=object))
+            # a batch of long texts makes many rows, which leave in slices
+            for i in range(0, len(frame), SLICE):
+                yield frame.iloc[i : i + SLICE]
 
     schema = (
         "gram BIGINT, context_id BIGINT, doc_id BIGINT, start BIGINT, windows INT, context BINARY"

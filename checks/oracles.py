@@ -242,6 +242,8 @@ def all_oracles() -> dict[str, str]:
             from authors group by author_norm, author_original""",
         "influence_edges_x5": f"with {AUTHORS}, {_edges(5)} select * from edges",
         "influence_edges_csv": f"with {AUTHORS}, {_edges(5)} select * from edges",
+        "edges_of_author": f"""with {AUTHORS}, {_edges(5)} select * from edges
+            where 'Writer 42' in (author_from, author_to)""",
         "window_sweep": f"""with {AUTHORS}, {', '.join(_edges(x, f'e{x}') for x in WINDOWS)},
             sizes as ({' union all '.join(f'select {x} as window_years, count(*) as edges from e{x}' for x in WINDOWS)}),
             compared as (select window_years, edges, case when (select count(*) from e5) > 0

@@ -232,6 +232,7 @@ def all_queries() -> dict[str, Query]:
         "author_variants": _network(lambda n: n.variants()),
         "influence_edges_x5": _network(lambda n: n.edges()),
         "influence_edges_csv": edges_csv,
+        "edges_of_author": _network(lambda n: n.edges_of("Writer 42")),
         "degrees_csv": degrees_csv,
         "window_sweep": window_sweep,
         "out_degree_authors_x5": _network(lambda n: n.out_degree(distinct_authors=True)),

@@ -38,9 +38,9 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("source", help="folder of .txt files")
         job.add_argument("target", help="folder for the result files")
         job.add_argument(
-            "--list-unreadable",
+            "--skip-unreadable",
             action="store_true",
-            help="read the files once more to name those left out",
+            help="go on without files that cannot be read, and name them",
         )
         if name == "similarity":
             job.add_argument("--book", default=similarity.TARGET)
@@ -52,9 +52,9 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _books(spark, options):
-    if options.list_unreadable:
+    if options.skip_unreadable:
         unreadable_books(spark, options.source).show(truncate=False)
-    return books(spark, options.source)
+    return books(spark, options.source, skip_unreadable=options.skip_unreadable)
 
 
 def _word_count(spark, options) -> None:

@@ -235,6 +235,34 @@ def influence_edges(node_table: DataFrame, window: int, block_nodes: int = 1024)
     )
 
 
+def edges_of(node_table: DataFrame, author: str, window: int) -> DataFrame:
+    """The edges of :func:`influence_edges` that begin or end at ``author``, a name as
+    written. Linear in the nodes: the author has one node a year, so those are broadcast.
+    """
+    own = node_table.filter(F.col("author_original") == author).select(
+        F.col("author_norm").alias("own_norm"), F.col("release_year").alias("own_year")
+    )
+    met = node_table.join(F.broadcast(own), F.col("author_norm") != F.col("own_norm"))
+    apart = F.col("release_year") - F.col("own_year")
+    sides = [
+        met.filter(apart >= window).select(
+            F.lit(author).alias("author_from"),
+            F.col("author_original").alias("author_to"),
+            F.col("own_year").alias("year_from"),
+            F.col("release_year").alias("year_to"),
+            apart.alias("year_diff"),
+        ),
+        met.filter(-apart >= window).select(
+            F.col("author_original").alias("author_from"),
+            F.lit(author).alias("author_to"),
+            F.col("release_year").alias("year_from"),
+            F.col("own_year").alias("year_to"),
+            (-apart).alias("year_diff"),
+        ),
+    ]
+    return sides[0].unionByName(sides[1])
+
+
 def _block_spans(node_table: DataFrame, window: int, block_nodes: int) -> DataFrame:
     """One row per year: its blocks, and those of the years far enough away.
 

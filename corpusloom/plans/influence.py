@@ -28,6 +28,9 @@ class InfluenceNetwork:
     def edges(self, window: int = BASE_WINDOW) -> DataFrame:
         return op.influence_edges(self.nodes, window)
 
+    def edges_of(self, author: str, window: int = BASE_WINDOW) -> DataFrame:
+        return op.edges_of(self.nodes, author, window)
+
     def out_degree(self, window: int = BASE_WINDOW, distinct_authors: bool = False) -> DataFrame:
         return op.out_degree(self._points(distinct_authors), window)
 

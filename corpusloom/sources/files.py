@@ -42,14 +42,15 @@ def books(
     spark: SparkSession,
     path: str,
     suffix: str = ".txt",
-    skip_unreadable: bool = True,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """One row per file directly under ``path`` whose name ends in ``suffix``.
 
-    Spark passes over files of no bytes and names that start with '.' or '_'.
-    Bytes that are not UTF-8 are dropped and all line ends become LF. No file
-    gives no rows, with the same schema. With ``skip_unreadable`` a file that
-    cannot be read is left out; :func:`unreadable_books` names those.
+    A file of no bytes is a book with the text ''. Bytes that are not UTF-8 are
+    dropped and all line ends become LF. No file gives no rows, with the same
+    schema. A file that cannot be read stops the job, as does a name that starts
+    with '.' or '_', which Spark does not read. With ``skip_unreadable`` they are
+    left out; :func:`unreadable_books` names those.
     """
     reader = (
         spark.read.schema("value STRING")
@@ -62,18 +63,49 @@ def books(
         # folders named key=value below would be read in place of the files here
         raw = reader.text(f"{path}/{names}", wholetext=True)
     text = unix_newlines(valid_text(F.col("value")))
-    return raw.select(file_name().alias("file_name"), text.alias("text"))
+    found = raw.select(file_name().alias("file_name"), text.alias("text"))
+    hidden, empty = _passed_over(spark, path, suffix)
+    if hidden and not skip_unreadable:
+        raise ValueError(f"Spark reads no file whose name starts with '.' or '_': {hidden}")
+    if empty:
+        found = found.unionByName(_rows(spark, [(name, "") for name in empty], BOOKS_SCHEMA))
+    return found
+
+
+def _passed_over(spark: SparkSession, path: str, suffix: str) -> tuple[list[str], list[str]]:
+    """Names of the files Spark passes over: hidden ones, and others of no bytes.
+
+    Only these names reach Python; Spark lists the whole folder on the driver too.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    hidden, empty = [], []
+    for status in system.listStatus(folder, hadoop.GlobFilter(f"*{suffix}")):
+        if status.isFile():
+            name = status.getPath().getName()
+            if name.startswith((".", "_")):
+                hidden.append(name)
+            elif not status.getLen():
+                empty.append(name)
+    return sorted(hidden), sorted(empty)
+
+
+def _rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    return spark.createDataFrame(rows, schema)
 
 
 def unreadable_books(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
-    """Names of the files that :func:`books` would leave out."""
+    """Names of the files that :func:`books` leaves out with ``skip_unreadable``."""
     listed = (
         spark.read.format("binaryFile")
         .load(f"{path}/*{suffix}")
         .select(file_name().alias("file_name"))
     )
-    loaded = books(spark, path, suffix).select("file_name")
-    return listed.join(loaded, "file_name", "left_anti")
+    loaded = books(spark, path, suffix, skip_unreadable=True).select("file_name")
+    hidden, _ = _passed_over(spark, path, suffix)
+    unread = listed.join(loaded, "file_name", "left_anti")
+    return unread.unionByName(_rows(spark, [(name,) for name in hidden], "file_name STRING"))
 
 
 def file_name() -> Column:

@@ -16,7 +16,7 @@ def test_jobs_over_a_folder_of_books(spark, tmp_path, capsys):
     main(["word-count", str(corpus), str(tmp_path / "words"), "1000"])
     assert "whale\t8\n" in parts(tmp_path / "words")
     main(["split-sweep", str(corpus)])
-    main(["metadata", str(corpus), str(tmp_path / "meta"), "--list-unreadable"])
+    main(["metadata", str(corpus), str(tmp_path / "meta"), "--skip-unreadable"])
     assert "0.txt,Book 0,May 1900,English," in parts(tmp_path / "meta")
     for more in ([], ["--exact"]):
         main(["similarity", str(corpus), str(tmp_path / "similar"), "--book", "3.txt", *more])

@@ -55,8 +55,8 @@ def test_empty_folder_gives_a_typed_empty_table(spark, tmp_path):
 
 
 def test_files_that_vanish_are_left_out_and_named(spark, folder):
-    tolerant = sources.books(spark, str(folder))
-    strict = sources.books(spark, str(folder), skip_unreadable=False)
+    tolerant = sources.books(spark, str(folder), skip_unreadable=True)
+    strict = sources.books(spark, str(folder))
     missing = sources.unreadable_books(spark, str(folder))
     assert missing.count() == 0
     os.remove(folder / "bad.txt")
@@ -65,6 +65,24 @@ def test_files_that_vanish_are_left_out_and_named(spark, folder):
         strict.collect()
 
 
+def test_files_of_no_bytes_are_books(spark, tmp_path):
+    (tmp_path / "none.txt").write_bytes(b"")
+    (tmp_path / "a.txt").write_text("x")
+    (tmp_path / "none.md").write_bytes(b"")
+    assert loaded(sources.books(spark, str(tmp_path))) == {"a.txt": "x", "none.txt": ""}
+    assert sources.unreadable_books(spark, str(tmp_path)).count() == 0
+
+
+def test_hidden_names_stop_a_job_or_are_named(spark, tmp_path):
+    for name in ("_a.txt", ".b.txt", "c.txt"):
+        (tmp_path / name).write_text("x")
+    with pytest.raises(ValueError, match="_a.txt"):
+        sources.books(spark, str(tmp_path))
+    assert loaded(sources.books(spark, str(tmp_path), skip_unreadable=True)) == {"c.txt": "x"}
+    missing = sources.unreadable_books(spark, str(tmp_path))
+    assert sorted(r["file_name"] for r in missing.collect()) == [".b.txt", "_a.txt"]
+
+
 def test_lines_end_at_any_newline(spark, tmp_path):
     (tmp_path / "l.txt").write_bytes(b"a\nb\r\nc\rd")
     rows = sources.lines(spark, str(tmp_path / "l.txt")).collect()

@@ -19,7 +19,7 @@ from corpusloom.workspace import materialize
 DEPTH = 3
 CONSTANT = 0.8
 FIELD = "<*>"
-WITH_DIGIT = r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+FROM_DIGIT = r"[0-9][^\x20\x09-\x0D]*+"
 MAX_BROADCAST = 500_000
 # A form is compared by two independent hashes.
 KEY = {"a": "xxhash64(form)", "b": "xxhash64(1, form)"}
@@ -29,9 +29,14 @@ def lines(docs: DataFrame, depth: int) -> DataFrame:
     """``(doc_id, line, form, tokens, leaf)`` of the lines with more than ``depth``
     tokens; ``form`` has one blank between tokens and a field for each with a digit."""
     text = F.col("text")
-    fields = F.regexp_replace(text, WITH_DIGIT, FIELD)
+    # Both ways from a digit to the end of its token. One pattern for the whole token would
+    # try every place of every word.
+    headless = F.reverse(F.regexp_replace(F.reverse(text), FROM_DIGIT, "0"))
+    fields = F.regexp_replace(headless, FROM_DIGIT, FIELD)
     fielded = F.when(text.rlike("[0-9]"), fields).otherwise(text)
-    plain = F.translate(fielded, "\t\x0b\x0c\r", "    ")
+    plain = fielded
+    for blank in "\t\x0b\x0c\r":  # a search for bytes, where translate looks up each character
+        plain = F.replace(plain, F.lit(blank), F.lit(" "))
     single = F.when(
         F.contains("plain", F.lit("  ")), F.regexp_replace("plain", " {2,}", " ")
     ).otherwise(F.col("plain"))
@@ -123,7 +128,7 @@ def line_dedup(docs: DataFrame, depth: int = DEPTH, constant: float = CONSTANT)
 
     whole = F.col("dropped").isNull()
     text = F.when(whole, F.col("text")).otherwise(let(F.split("text", "\n"), without))
-    breaks = F.length("text") - F.length(F.translate("text", "\n", ""))
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     return joined.select(
         "doc_id",
         text.alias("text"),

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import id_and_text, join_by_share, let
+from corpusloom.sources.tables import spread
 from corpusloom.workspace import materialize
 
 DEPTH = 3
@@ -64,9 +65,9 @@ def templates(forms: DataFrame, found: DataFrame, constant: float) -> DataFrame:
         crowded = F.broadcast(crowded)
     spelled = found.join(crowded, "leaf").groupBy("form", "leaf", "forms").agg(F.lit(1).alias("x"))
     key = [F.expr(hashed).alias(name) for name, hashed in KEY.items()]
-    # written with its tokens, which would be split again for each of them otherwise
-    tokens = F.split("form", " ").alias("tokens")
-    spelled = materialize(spelled.select(tokens, "leaf", "forms", *key), "forms")
+    # written with the hashes of its tokens, which would be split again for each otherwise
+    tokens = F.transform(F.split("form", " "), lambda t: F.xxhash64(t)).alias("tokens")
+    spelled = spread(materialize(spelled.select(tokens, "leaf", "forms", *key), "forms"))
 
     each = spelled.select(
         "leaf", "forms", F.size("tokens").alias("size"), F.posexplode("tokens").alias("place", "token")

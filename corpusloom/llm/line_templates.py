@@ -21,6 +21,8 @@ DEPTH = 3
 CONSTANT = 0.8
 FIELD = "<*>"
 FROM_DIGIT = r"[0-9][^\x20\x09-\x0D]*+"
+# What a text holds if any of its lines is to be written otherwise.
+UNEVEN = r"[0-9\t\x0b\x0c\r]| {2}"
 MAX_BROADCAST = 500_000
 # A form is compared by two independent hashes.
 KEY = {"a": "xxhash64(form)", "b": "xxhash64(1, form)"}
@@ -38,11 +40,15 @@ def lines(docs: DataFrame, depth: int) -> DataFrame:
     plain = fielded
     for blank in "\t\x0b\x0c\r":  # a search for bytes, where translate looks up each character
         plain = F.replace(plain, F.lit(blank), F.lit(" "))
-    single = F.when(
-        F.contains("plain", F.lit("  ")), F.regexp_replace("plain", " {2,}", " ")
-    ).otherwise(F.col("plain"))
-    # steps of their own, so that neither is computed once for each use
-    stepped = docs.select("doc_id", plain.alias("plain")).select("doc_id", single.alias("text"))
+
+    def single(blanks: Column) -> Column:
+        return F.when(
+            F.contains(blanks, F.lit("  ")), F.regexp_replace(blanks, " {2,}", " ")
+        ).otherwise(blanks)
+
+    even = F.when(text.rlike(UNEVEN), let(plain, single)).otherwise(text)
+    # a step of its own, so that it is computed once
+    stepped = docs.select("doc_id", even.alias("text"))
     split = stepped.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "value"))
     form = F.trim("value")
     formed = split.select("doc_id", "line", form.alias("form")).withColumn(
@@ -56,8 +62,8 @@ def templates(forms: DataFrame, found: DataFrame, constant: float) -> DataFrame:
     """``(a, b, first_doc, n)`` with the first document of the template of each form
     that recurs, ``n`` the lines of the form.
 
-    ``forms`` has the forms by hash, ``found`` the lines they come from, whose tokens
-    are looked at again only in leaves with more than one form.
+    ``forms`` has the forms by hash, ``found`` the written lines they come from, whose
+    tokens are looked at only in leaves with more than one form.
     """
     crowded = forms.groupBy("leaf").agg(F.count("*").alias("forms")).filter("forms > 1")
     crowded = materialize(crowded, "leaves")
@@ -106,7 +112,10 @@ def line_dedup(docs: DataFrame, depth: int = DEPTH, constant: float = CONSTANT)
     """
     rows = id_and_text(docs)
     found = lines(rows.filter("doc_id is not null"), depth)
-    placed = materialize(found.select("doc_id", "line", "leaf", *[F.expr(hashed).alias(name) for name, hashed in KEY.items()]), "lines")
+    key = [F.expr(hashed).alias(name) for name, hashed in KEY.items()]
+    # written with its forms: the texts are taken apart only once
+    found = materialize(found.select("doc_id", "line", "leaf", "form", *key), "lines")
+    placed = found.select("doc_id", "line", "leaf", *KEY)
     forms = placed.groupBy("a", "b", "leaf").agg(
         F.min("doc_id").alias("first_doc"),
         F.max("doc_id").alias("last_doc"),

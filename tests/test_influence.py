@@ -47,6 +47,14 @@ def test_edges_equal_the_definition(spark, window, block):
     assert set(found) == plain_edges(nodes, window)
 
 
+@pytest.mark.parametrize("author", ["Poet 3", "Writer 7", "nobody"])
+def test_edges_of_one_author(spark, author):
+    nodes = skewed_nodes()
+    found = rows(op.edges_of(table(spark, nodes), author, 5))
+    assert len(found) == len(set(found))
+    assert set(found) == {e for e in plain_edges(nodes, 5) if author in e[:2]}
+
+
 def test_degrees_equal_counted_edges(spark):
     nodes = skewed_nodes()
     points = op.book_years(table(spark, nodes))

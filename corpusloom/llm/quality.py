@@ -1,16 +1,24 @@
 """Quality rules whose cutoffs are proven on labelled documents.
 
-Each rule rejects documents whose measure lies above a cutoff. For every stratum
-(language) and rule the cutoffs of a fixed grid are tested on the labelled
-documents: a cutoff is admissible if the exact binomial tail shows that it rejects
-more than ``risk`` of the clean documents with a probability of at most ``error``
-over all tests together (Bonferroni). Of the admissible cutoffs the one that rejects
-most bad documents is taken, and of equals the mildest. Where no cutoff can be
-proven, the rule is off in that stratum.
+Each rule rejects documents whose measure lies above a cutoff. Every stratum (language)
+has a path on which the rules are tightened one cutoff of a fixed grid at a time, mild
+before strict. One clean document in ``CHOOSING`` and all bad ones settle the path; the
+other clean ones prove how far it may be walked. A place on it is proven if the exact
+binomial tail shows that the rules together, as they stand there, reject more than
+``risk`` of the clean documents with a probability of at most the level. What is rejected
+only grows along the path, so it is one fixed sequence of tests that stops at the first
+failure, and needs no correction within. The level is ``error`` by the number of strata
+with enough labels to be tested at all and the pool.
+
+The pool of all labelled documents has a path of its own. Strata with too few clean
+documents to prove anything, unlabelled ones too, use its cutoffs. These bound the false
+rejection in the pool, not in each such stratum, and are named in the verdict.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +40,11 @@ GRIDS = {
 }
 RISK = 0.02
 ERROR = 0.05
-MAX_STRATA = 64
-OTHER = "(other)"
+CHOOSING = 5
+POOLED = "(pooled)"
+MAX_BROADCAST = 500_000
+# The steps of a path by number: rule by rule, mild before strict.
+STEPS = [(rule, float(cutoff)) for rule, grid in GRIDS.items() for cutoff in sorted(grid, reverse=True)]
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -148,16 +159,9 @@ def binomial_tail(n: Column, k: Column, risk: float) -> Column:
     return F.aggregate(steps, start, add, lambda a: F.exp(a["total"]))
 
 
-def cutoffs(
-    measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR
-) -> DataFrame:
-    """``(stratum, n_clean, symbol_share, ...)``: the cutoff of each rule by stratum,
-    null where none is proven; at most ``MAX_STRATA`` strata and ``(other)``, which
-    stands for all languages with fewer labelled documents.
-
-    Labels without a document, documents with contradicting labels and labels
-    other than 0 and 1 prove nothing and are passed over.
-    """
+def _cells(measured: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(stratum, part, over, n)``: labelled documents past the base rules, by the steps
+    they exceed, of every stratum and of the pool."""
     judged = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").alias("quality"))
         .filter(F.col("quality").isin(0, 1))
@@ -167,49 +171,119 @@ def cutoffs(
         .select("doc_id", "quality")
     )
     held_out = measured.filter(~F.col("base_failed")).join(judged, "doc_id")
-    clean = F.col("quality") == 1
-    counts = [F.count(F.when(clean, 1)).alias("n_clean")]
-    for rule, value in shares().items():
-        for i, cutoff in enumerate(GRIDS[rule]):
-            over = value > F.lit(cutoff)
-            counts.append(F.count(F.when(clean & over, 1)).alias(f"{rule}_clean_{i}"))
-            counts.append(F.count(F.when(~clean & over, 1)).alias(f"{rule}_bad_{i}"))
-    by_language = held_out.groupBy("stratum").agg(*counts)
-    largest = by_language.orderBy(F.col("n_clean").desc(), "stratum").limit(MAX_STRATA)
-    names = F.broadcast(largest.select("stratum", F.lit(True).alias("own")))
-    pooled = by_language.join(names, "stratum", "left").withColumn(
-        "stratum", F.when(F.col("own"), F.col("stratum")).otherwise(F.lit(OTHER))
-    )
-    sums = [F.sum(c).alias(c) for c in by_language.columns if c != "stratum"]
-    pooled = pooled.groupBy("stratum").agg(*sums)
-
-    tests = sum(map(len, GRIDS.values())) * (MAX_STRATA + 1)
-    each = risk / len(GRIDS)
-    entries = []
-    for rule, grid in GRIDS.items():
-        tried = F.array(
-            *[
-                F.struct(
-                    F.col(f"{rule}_clean_{i}").alias("k"),
-                    F.col(f"{rule}_bad_{i}").alias("bad"),
-                    F.lit(float(cutoff)).alias("cutoff"),
-                )
-                for i, cutoff in enumerate(grid)
-            ]
+    choosing = F.pmod(F.xxhash64("doc_id"), F.lit(CHOOSING)) == 0
+    part = F.when(F.col("quality") == 0, "bad").when(choosing, "choose").otherwise("prove")
+    value = shares()
+    over = [F.when(value[rule] > F.lit(cutoff), F.lit(i)) for i, (rule, cutoff) in enumerate(STEPS)]
+    stepped = held_out.select("stratum", part.alias("part"), F.array_compact(F.array(*over)).alias("over"))
+    own = materialize(stepped.groupBy("stratum", "part", "over").agg(F.count("*").alias("n")), "cells")
+    pool = own.groupBy("part", "over").agg(F.sum("n").alias("n"))
+    return own.unionByName(pool.select(F.lit(POOLED).alias("stratum"), "part", "over", "n"))
+
+
+def _paths(cells: DataFrame) -> DataFrame:
+    """``(stratum, path)``: the steps that reject bad documents, those that cost the fewest
+    clean ones of the choosing part first, of equals those of the rule that rejects most."""
+
+    def number(part: str) -> Column:
+        return F.sum(F.when(F.col("part") == part, F.col("n")).otherwise(0))
+
+    rule_of = F.array(*[F.lit(list(GRIDS).index(rule)) for rule, _ in STEPS])
+    steps = (
+        cells.filter(F.col("part") != "prove")
+        .select("stratum", "part", "n", F.explode("over").alias("step"))
+        .groupBy("stratum", "step")
+        .agg(number("bad").alias("bad"), number("choose").alias("cost"))
+        .filter("bad > 0")
+        .withColumn("rule", F.get(rule_of, F.col("step")))
+    )
+    peaks = steps.groupBy("stratum", "rule", "cost").agg(
+        (-F.max("bad")).alias("peak"), F.collect_list("step").alias("steps")
+    )
+    ordered = peaks.select(
+        "stratum", F.explode("steps").alias("step"), F.struct("cost", "peak").alias("key")
+    )
+    path = F.sort_array(F.collect_list(F.struct("key", "step")))["step"]
+    found = ordered.groupBy("stratum").agg(path.alias("path"))
+    # steps that reject no further bad document are not taken
+    useful = (
+        cells.filter(F.col("part") == "bad")
+        .join(found, "stratum")
+        .groupBy("stratum", "path")
+        .agg(F.collect_set(_first("over", "path")).alias("useful"))
+    )
+    return useful.select(
+        "stratum", F.filter("path", lambda s, i: F.array_contains("useful", i + 1)).alias("path")
+    )
+
+
+def _first(over: str, path: str) -> Column:
+    """The first place of a path, from 1, whose step is exceeded; null for none."""
+    places = F.transform(over, lambda s: F.array_position(path, s))
+    return F.array_min(F.filter(places, lambda p: p > 0)).cast("int")
+
+
+def cutoffs(
+    measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR
+) -> DataFrame:
+    """``(stratum, n_clean, symbol_share, ...)``: the cutoff of each rule, null where none
+    is proven, for every stratum with enough clean documents for a proof and for the pool,
+    ``(pooled)``. ``n_clean`` are those the proof rests on.
+
+    Labels without a document, documents with contradicting labels and labels
+    other than 0 and 1 prove nothing and are passed over.
+    """
+    cells = materialize(_cells(measured, labels), "all-cells")
+    paths = materialize(_paths(cells), "paths")
+    proving = cells.filter(F.col("part") == "prove")
+    clean = materialize(proving.groupBy("stratum").agg(F.sum("n").alias("n_clean")), "clean")
+
+    def least(level: float) -> int:
+        """Clean documents that prove something if none of them is rejected."""
+        return math.ceil(math.log(level) / math.log(1 - risk))
+
+    strata = clean.filter((F.col("n_clean") >= least(error)) & (F.col("stratum") != POOLED)).count()
+    level = error / (strata + 1)
+    tested = clean.filter(F.col("n_clean") >= least(level))
+    hits = (
+        proving.join(paths, "stratum")
+        .select("stratum", _first("over", "path").alias("at"), "n")
+        .groupBy("stratum", "at")
+        .agg(F.sum("n").alias("n"))
+        .filter("at is not null")
+        .groupBy("stratum")
+        .agg(F.collect_list(F.struct("at", "n")).alias("hits"))
+    )
+    walked = tested.join(paths, "stratum", "left").join(hits, "stratum", "left")
+    none = F.array().cast("array<struct<at:int,n:bigint>>")
+    walked = walked.select(
+        "stratum",
+        "n_clean",
+        F.coalesce("path", F.array().cast("array<int>")).alias("path"),
+        F.coalesce("hits", none).alias("hits"),
+    )
+
+    def proven(step: Column, i: Column) -> Column:
+        rejected = F.aggregate(
+            F.filter("hits", lambda h: h["at"] <= i + 1),
+            F.lit(0).cast("bigint"),
+            lambda a, h: a + h["n"],
         )
         # more rejections than expected at that risk can never prove it
-        proven = F.filter(
-            tried,
-            lambda t: F.when(
-                (t["bad"] > 0) & (t["k"] <= F.col("n_clean") * each),
-                binomial_tail(F.col("n_clean"), t["k"], each) <= error / tests,
+        return let(
+            rejected,
+            lambda k: F.when(
+                k <= F.col("n_clean") * risk, binomial_tail(F.col("n_clean"), k, risk) <= level
             ).otherwise(False),
         )
-        best = F.array_max(
-            F.transform(proven, lambda t: F.struct(t["bad"].alias("bad"), t["cutoff"].alias("cutoff")))
-        )
-        entries.append(best["cutoff"].alias(rule))
-    return pooled.select("stratum", "n_clean", *entries)
+
+    walked = walked.select("stratum", "n_clean", F.filter("path", proven).alias("taken"))
+
+    def strictest(rule: str) -> Column:
+        own = [F.lit(cutoff if name == rule else None).cast("double") for name, cutoff in STEPS]
+        return F.array_min(F.transform("taken", lambda s: F.get(F.array(*own), s)))
+
+    return walked.select("stratum", "n_clean", *[strictest(rule).alias(rule) for rule in GRIDS])
 
 
 def quality_verdicts(
@@ -219,22 +293,26 @@ def quality_verdicts(
     base_failed, kept, rejected_by)``, one row for each document.
 
     ``kept`` is false for a document that fails a base rule or exceeds a proven cutoff
-    of its stratum; ``rejected_by`` names the first such rule, '' for none. Without
+    of its stratum; ``rejected_by`` names the first such rule, '' for none, and adds
+    ``(pooled)`` if the cutoff is that of the pool, in strata too small for a proof. Without
     labels only the base rules reject. A null or empty text has no words and fails.
     Repeated rows are judged one by one, an empty table gives no rows.
     """
     measured = materialize(measure(docs), "quality")
     found = materialize(cutoffs(measured, labels, risk, error), "cutoffs")
-    # at most MAX_STRATA + 1 rows
-    rules = F.broadcast(found.select("stratum", *[F.col(r).alias(f"cut_{r}") for r in GRIDS]))
-    named = F.broadcast(found.select("stratum", F.lit(True).alias("own")))
-    placed = measured.join(named, "stratum", "left").withColumn(
-        "stratum", F.when(F.col("own"), F.col("stratum")).otherwise(F.lit(OTHER))
+    rules = found.filter(F.col("stratum") != POOLED).select(
+        "stratum", F.lit(True).alias("own"), *[F.col(r).alias(f"cut_{r}") for r in GRIDS]
     )
-    judged = placed.join(rules, "stratum", "left")
+    if rules.count() <= MAX_BROADCAST:  # beyond that the join shuffles
+        rules = F.broadcast(rules)
+    pool = found.filter(F.col("stratum") == POOLED).agg(*[F.max(r).alias(f"pool_{r}") for r in GRIDS])
+    judged = measured.join(rules, "stratum", "left").crossJoin(F.broadcast(pool))
     reason = F.when(F.col("base_failed"), F.lit("base"))
     for rule, value in shares().items():
-        reason = reason.when(value > F.col(f"cut_{rule}"), F.lit(rule))
+        reason = reason.when(F.col("own") & (value > F.col(f"cut_{rule}")), F.lit(rule))
+    for rule, value in shares().items():
+        over = F.col("own").isNull() & (value > F.col(f"pool_{rule}"))
+        reason = reason.when(over, F.lit(f"{rule} {POOLED}"))
     return judged.withColumn("rejected_by", reason.otherwise(F.lit(""))).select(
         "doc_id",
         "n_words",

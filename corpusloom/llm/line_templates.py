@@ -1,7 +1,8 @@
 """Lines that recur across documents up to variable fields, found by a log-template tree.
 
 The tree has a fixed depth: a line goes by its number of tokens, then by its first
-``DEPTH`` tokens, to a leaf. Tokens with a digit are variable fields from the start. In a
+``DEPTH`` tokens, to a leaf; the tree ends earlier for a line of fewer tokens, whose leaf
+has that one form. Tokens with a digit are variable fields from the start. In a
 leaf with several forms, a place where most forms agree on a token keeps it and any other
 place becomes a variable field, as long as ``CONSTANT`` of the places keep theirs; the
 forms that agree in those places are one template, every other form is its own. A line
@@ -29,8 +30,7 @@ KEY = {"a": "xxhash64(form)", "b": "xxhash64(1, form)"}
 
 
 def lines(docs: DataFrame, depth: int) -> DataFrame:
-    """``(doc_id, line, form, tokens, leaf)`` of the lines with more than ``depth``
-    tokens; ``form`` has one blank between tokens and a field for each with a digit."""
+    """``(doc_id, line, form, tokens, leaf)`` of all lines but blank ones; ``form`` has one blank between tokens and a field for each with a digit."""
     text = F.col("text")
     # Both ways from a digit to the end of its token. One pattern for the whole token would
     # try every place of every word.
@@ -54,8 +54,9 @@ def lines(docs: DataFrame, depth: int) -> DataFrame:
     formed = split.select("doc_id", "line", form.alias("form")).withColumn(
         "tokens", F.length("form") - F.length(F.replace("form", F.lit(" "), F.lit(""))) + 1
     )
+    # of a line with at most so many tokens that is all of it
     leaf = F.xxhash64("tokens", F.substring_index("form", " ", depth))
-    return formed.filter(F.col("tokens") > depth).withColumn("leaf", leaf)
+    return formed.filter("form != ''").withColumn("leaf", leaf)
 
 
 def templates(forms: DataFrame, found: DataFrame, constant: float) -> DataFrame:
@@ -105,8 +106,7 @@ def line_dedup(docs: DataFrame, depth: int = DEPTH, constant: float = CONSTANT)
     """``(doc_id, text, n_lines, n_dropped)`` of each row, ``text`` without the dropped
     lines.
 
-    Lines are what stands between line feeds. Lines with at most ``depth`` tokens reach
-    no leaf and stay, blank ones too. A null text is ''. Rows without an identifier stay
+    Lines are what stands between line feeds. Blank lines stay. A null text is ''. Rows without an identifier stay
     whole; rows that repeat one are one document, whose lines never count against each
     other. An empty table gives no rows.
     """

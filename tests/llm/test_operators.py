@@ -321,6 +321,14 @@ def test_line_templates(docs):
     assert found[5]["n_dropped"] == 1 and found[4]["n_dropped"] == 0
 
 
+def test_short_lines_recur(spark):
+    texts = ["All rights reserved.\n\nHome", "Home\n \nall rights reserved.", " All  rights reserved.\n\nPage 7", "Page 8"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    found = by_id(line_templates.line_dedup(rows))
+    assert [found[i]["n_dropped"] for i in range(4)] == [0, 1, 1, 1]
+    assert [found[i]["text"] for i in (1, 2, 3)] == [" \nall rights reserved.", "\nPage 7", ""]
+
+
 @pytest.mark.parametrize("often", [jaccard_join.OFTEN, -10])
 def test_jaccard_join(docs, monkeypatch, often):
     monkeypatch.setattr(jaccard_join, "OFTEN", often)

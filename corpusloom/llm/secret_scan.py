@@ -1,6 +1,7 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests for the rest.
 
-Candidates for the battery are long tokens with a digit that no pattern covers. The
+Candidates for the battery are long tokens with a digit, or with a capital behind a small
+letter, that no pattern covers; without either a token is a word or a rule of signs. The
 alphabet a token is written in is inferred from its characters. Three tests ask
 whether the token could be uniform noise over that alphabet: chi-squared of the
 symbol counts, runs above and below the middle of the alphabet, and serial
@@ -10,6 +11,9 @@ Noise has uniform p-values, ordinary text piles up near 0. Within each band of
 lengths the p-values from one half up therefore tell how much noise there is, and
 what exceeds its share beyond a cutoff is ordinary text. The cutoff of the band is
 the smallest one at which the estimated share of ordinary text is at most ``fdr``.
+Every distinct token counts once, however many copies it has. Bands with fewer than
+``FEW`` of them are pooled with their neighbours; if all together are fewer, nothing can
+be estimated and the cutoff is ``FLOOR``, which misses that share of noise.
 """
 
 from __future__ import annotations
@@ -34,7 +38,8 @@ KINDS = ("assign", "access", "hex", "random")
 
 LEAST = 16
 RUN = "[A-Za-z0-9+/_=-]"
-TOKEN = rf"(?<!{RUN})(?={RUN}{{{LEAST}}})[A-Za-z+/_=-]*+[0-9]{RUN}*+"
+MIXED = "[A-Z0-9+/_=-]*+[a-z][a-z0-9+/_=-]*+[A-Z]"
+TOKEN = rf"(?<!{RUN})(?={RUN}{{{LEAST}}})(?:[A-Za-z+/_=-]*+[0-9]|{MIXED}){RUN}*+"
 
 # Alphabets by the pattern a token must match; the first that fits is inferred.
 DIGITS = "0123456789"
@@ -49,6 +54,8 @@ ENCODINGS = (
 BANDS = (16, 20, 24, 32, 40, 64, 128)
 BINS = 100
 FDR = 0.05
+FEW = 100
+FLOOR = 0.01
 
 SPAN = "array<struct<start:int,rank:int,end:int,value:string>>"
 
@@ -155,9 +162,10 @@ def _battery(symbols: Column, k: int) -> Column:
 
 def randomness(value: Column) -> Column:
     """p-value of a token under uniform noise over its inferred alphabet; null for
-    tokens of one symbol class, such as numbers and words, which are not tested."""
+    numbers and for words of one case or with a leading capital, which are not tested."""
     plain = F.translate(value, "-_=", "+/")
-    found = F.when(~value.rlike("[A-Za-z]") | ~value.rlike("[0-9]"), F.lit(None).cast("double"))
+    untested = ~value.rlike("[A-Za-z]") | ~(value.rlike("[0-9]") | value.rlike(f"^{MIXED}"))
+    found = F.when(untested, F.lit(None).cast("double"))
     for _, pattern, alphabet in ENCODINGS:
         symbols = F.transform(
             F.filter(F.split(plain, ""), lambda c: c != ""),
@@ -198,14 +206,35 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def cutoffs(scanned: DataFrame, fdr: float = FDR) -> list[float]:
     """The least p-value that counts as noise, by band of lengths. The driver sees
-    one histogram of at most ``BINS`` counts for each band."""
-    each = scanned.select(F.explode("candidates").alias("c")).filter(F.col("c.p").isNotNull())
-    band = sum(F.when(F.length("c.value") >= least, 1).otherwise(0) for least in BANDS) - 1
-    cell = F.least(F.floor(F.col("c.p") * BINS), F.lit(BINS - 1))
-    counts: dict[int, list[int]] = {b: [0] * BINS for b in range(len(BANDS))}
+    one histogram of at most ``BINS`` counts for each band, of distinct tokens."""
+    found = scanned.select(F.explode("candidates").alias("c")).filter(F.col("c.p").isNotNull())
+    each = found.groupBy(F.col("c.value").alias("value")).agg(F.min("c.p").alias("p"))
+    band = sum(F.when(F.length("value") >= least, 1).otherwise(0) for least in BANDS) - 1
+    cell = F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1))
+    counts = [[0] * BINS for _ in BANDS]
     for row in each.groupBy(band.alias("band"), cell.alias("cell")).count().collect():
         counts[row["band"]][row["cell"]] = row["count"]
-    return [_cutoff(counts[b], fdr) for b in range(len(BANDS))]
+    return _by_band(counts, fdr)
+
+
+def _by_band(counts: list[list[int]], fdr: float) -> list[float]:
+    """The cutoff of each band; neighbours are pooled until they have ``FEW`` tokens, what
+    is left over at the end belongs to the pool before it."""
+    pools: list[list[int]] = []
+    held: list[int] = []
+    for b in range(len(counts)):
+        held.append(b)
+        if sum(sum(counts[i]) for i in held) >= FEW:
+            pools.append(held)
+            held = []
+    if not pools:
+        return [FLOOR] * len(counts)
+    pools[-1] += held
+    found = []
+    for pool in pools:
+        cutoff = _cutoff([sum(cells) for cells in zip(*[counts[i] for i in pool])], fdr)
+        found += [cutoff] * len(pool)
+    return found
 
 
 def _cutoff(histogram: list[int], fdr: float) -> float:

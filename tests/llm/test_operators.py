@@ -255,6 +255,28 @@ def test_secrets(docs):
             assert row["spans"] == row["base"]
 
 
+def test_secrets_few_and_copied(spark):
+    """Noise is found if there is little of it, in many copies, or without a digit."""
+    rng = random.Random(3)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(signs) for _ in range(24)) for _ in range(59)]
+    keys.append("".join(rng.choice(signs[:52]) for _ in range(24)))
+    texts = [f"a key {k} of words" for k in keys] + [f"a key {keys[0]} {i}" for i in range(300)]
+    texts.append("Geschwindigkeitsbegrenzung INTERNATIONALIZATION ================ well-being-and-so-on")
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    found = by_id(secret_scan.find_secrets(rows))
+    assert sum(len(found[i]["spans"]) for i in range(60)) >= 57
+    assert found[59]["spans"] and not found[len(texts) - 1]["spans"]
+
+
+def test_secret_cutoffs_pool_bands():
+    noise, words = [2] * secret_scan.BINS, [99] + [0] * (secret_scan.BINS - 1)
+    nothing = [0] * secret_scan.BINS
+    assert secret_scan._by_band([nothing, words, nothing], 0.05) == [secret_scan.FLOOR] * 3
+    found = secret_scan._by_band([words, noise, nothing], 0.05)
+    assert found == [secret_scan._cutoff([a + b for a, b in zip(words, noise)], 0.05)] * 3
+
+
 def test_tree_bpe(docs, library):
     found = tree_bpe.encode_documents(docs, piece=700, digest=True).collect()
     assert len(found) == len(ROWS)

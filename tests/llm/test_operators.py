@@ -230,6 +230,12 @@ def test_few_labels_prove_a_cutoff(spark):
     assert kept[600]["rejected_by"] == "symbol_share (pooled)"
 
 
+def test_any_number_of_strata(spark):
+    names = [f"l{i}" for i in range(70)]
+    groups = [(x, quality_, n, 200 * (1 - quality_), 0) for x in names for quality_, n in [(1, 540), (0, 5)]]
+    assert _proven(spark, groups) == {x: (0.3, None) for x in [*names, quality.POOLED]}
+
+
 def test_rules_are_bounded_together(spark):
     """Either rule alone would reject 1.3 % of the clean documents, both 2.6 %."""
     groups = [("en", 1, 4000, 0, 0), ("en", 1, 53, 200, 0), ("en", 1, 53, 0, 80)]

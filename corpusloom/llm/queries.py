@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpusloom.llm import (
+    alignment,
     class_ngrams,
     exact_dedup,
     jaccard_join,
     line_templates,
     packing,
+    piece_bpe,
     quality,
     secret_scan,
     suffix_dedup,
@@ -83,6 +85,14 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(spark, folder))
 
 
+def op11_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_bpe.encode_documents(documents(spark, folder), digest=True)
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(documents(spark, folder)).documents()
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_class_ngrams": op1_class_ngrams,
@@ -95,6 +105,8 @@ def all_queries() -> dict[str, Query]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_line_templates": op9_line_templates,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_piece_bpe": op11_piece_bpe,
+        "op12_alignment": op12_alignment,
         "pipeline": corpus_pipeline.run,
     }
 

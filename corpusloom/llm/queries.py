@@ -20,6 +20,7 @@ from corpusloom.llm import (
     secret_scan,
     suffix_dedup,
     token_files,
+    treap_search,
     tree_bpe,
 )
 from corpusloom.llm.common import documents
@@ -93,6 +94,11 @@ def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align(documents(spark, folder)).documents()
 
 
+def op13_treap_search(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return treap_search.build_index(documents(spark, folder)).search(items)
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_class_ngrams": op1_class_ngrams,
@@ -107,6 +113,7 @@ def all_queries() -> dict[str, Query]:
         "op10_jaccard_join": op10_jaccard_join,
         "op11_piece_bpe": op11_piece_bpe,
         "op12_alignment": op12_alignment,
+        "op13_treap_search": op13_treap_search,
         "pipeline": corpus_pipeline.run,
     }
 

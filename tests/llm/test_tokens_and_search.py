@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusloom.llm import alignment, bpe, piece_bpe, treap_search
@@ -203,7 +204,9 @@ def test_treap_opens_few_ranges():
         grid.add(i, " ".join(rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(30)))
     grid.add(2000, "rare words of one text")
     row = grid.row()
-    treap = treap_search.Treap(treap_search._treap(row, row["n_docs"], row["n_terms"]))
+    shape = len(row["doc_id"]), len(row["terms"])
+    made = treap_search._treap(row["postings"], *shape, row["n_docs"], row["n_terms"])
+    treap = treap_search.Treap(pa.array(row["doc_id"], pa.int64()), *made)
     opened = []
     halved = treap._halved
     treap._halved = lambda *a: opened.append(len(a[3])) or halved(*a)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import id_and_text, ship_package
+from corpusloom.llm.common import exact_ids, id_and_text, ship_package, whole_ids
 from corpusloom.workspace import materialize
 
 FOLDS, HELD_OUT = 5, 1
@@ -280,14 +280,14 @@ def _first_scores(rows: DataFrame, model: ClassModel) -> DataFrame:
                 number += 1
             names = ["row", "n_tokens", "n_own", "own_score", "own_base", "words", "times"]
             frame = pd.DataFrame(found, columns=names)
-            frame["doc_id"] = batch["doc_id"].astype("Int64").to_numpy()
-            yield frame.assign(held_out=batch["held_out"].to_numpy()).astype({"doc_id": "Int64"})
+            frame["doc_id"] = whole_ids(batch["doc_id"])
+            yield frame.assign(held_out=batch["held_out"].to_numpy())
 
     schema = (
         "row BIGINT, n_tokens BIGINT, n_own BIGINT, own_score DOUBLE, own_base DOUBLE, "
         "words ARRAY<STRING>, times ARRAY<BIGINT>, doc_id BIGINT, held_out BOOLEAN"
     )
-    return rows.mapInPandas(run, schema)
+    return exact_ids(rows).mapInPandas(run, schema)
 
 
 def score(rows: DataFrame, model: ClassModel) -> DataFrame:

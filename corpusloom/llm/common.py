@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,16 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     )
 
 
+def exact_ids(docs: DataFrame) -> DataFrame:
+    """``doc_id`` as text on its way to pandas, which makes doubles of whole numbers that
+    share a batch with a null; :func:`whole_ids` turns it back."""
+    return docs.withColumn("doc_id", F.col("doc_id").cast("string"))
+
+
+def whole_ids(ids: pd.Series) -> pd.api.extensions.ExtensionArray:
+    return pd.array([None if pd.isna(i) else int(i) for i in ids], "Int64")
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(text, WHITE), lambda w: w != "")
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import id_and_text, join_by_share, ship_package
+from corpusloom.llm.common import exact_ids, id_and_text, join_by_share, ship_package, whole_ids
 from corpusloom.llm.components import components
 from corpusloom.llm.hashing import INVERSE, mixed, powers
 from corpusloom.workspace import materialize
@@ -98,9 +98,7 @@ def _sketch_pass(docs: DataFrame, n: int) -> DataFrame:
             cells += np.bincount(met.astype("i8"), minlength=len(cells))
             rows = [(len(found), *_signature(found)) for found in sets]
             frame = pd.DataFrame(rows, columns=["n", "sig_a", "sig_b"])
-            yield frame.assign(doc_id=batch["doc_id"].to_numpy(), piece=-1, counts=None).astype(
-                {"doc_id": "Int64"}
-            )
+            yield frame.assign(doc_id=whole_ids(batch["doc_id"]), piece=-1, counts=None)
         for piece, part in enumerate(np.split(cells, SKETCH_PIECES)):
             if part.any():
                 empty = {"n": 0, "sig_a": 0, "sig_b": 0, "doc_id": pd.NA}
@@ -108,7 +106,7 @@ def _sketch_pass(docs: DataFrame, n: int) -> DataFrame:
                 yield row.astype({"doc_id": "Int64"})
 
     schema = "doc_id BIGINT, n BIGINT, sig_a BIGINT, sig_b BIGINT, piece INT, counts BINARY"
-    return id_and_text(docs).mapInPandas(run, schema)
+    return exact_ids(id_and_text(docs)).mapInPandas(run, schema)
 
 
 def _signature(found: np.ndarray) -> tuple[int, int]:

@@ -21,7 +21,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import default_vocabulary, encoder
-from corpusloom.llm.common import id_and_text, ship_package, shuffle_partitions
+from corpusloom.llm.common import (
+    exact_ids,
+    id_and_text,
+    ship_package,
+    shuffle_partitions,
+    whole_ids,
+)
 from corpusloom.workspace import materialize
 
 WINDOW = 1024
@@ -46,7 +52,6 @@ def cut(docs: DataFrame, vocabulary: str, window: int, end_id: int) -> DataFrame
             found = bpe.encode_all(batch["text"])
             for doc_id, ids in zip(batch["doc_id"], found, strict=True):
                 ids += end
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
                 for start in range(0, len(ids), 4 * window):
                     piece = ids[start : start + 4 * window]
                     rows.append(
@@ -57,12 +62,12 @@ def cut(docs: DataFrame, vocabulary: str, window: int, end_id: int) -> DataFrame
                     rows = []
             yield _frame(rows, names)
 
-    return id_and_text(docs).mapInPandas(run, PIECES)
+    return exact_ids(id_and_text(docs)).mapInPandas(run, PIECES)
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=names)
-    return frame.astype({"doc_id": "Int64"})
+    return frame.assign(doc_id=whole_ids(frame["doc_id"]))
 
 
 def combinations(units: int, depth: int) -> np.ndarray:

@@ -254,7 +254,8 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
 
     ``spans`` has the base spans and those the battery adds, which overlap none of
     them. A null or empty text has no spans; repeated rows are scanned one by one; an
-    empty table gives no rows. No column of ``docs`` is touched.
+    empty table gives no rows. Other columns of ``docs`` are kept, except ones named
+    ``base`` or ``spans``, whose places the result takes.
     """
     scanned = materialize(scan(docs), "secrets")
     least = F.array(*[F.lit(c) for c in cutoffs(scanned, fdr)])
@@ -268,7 +269,8 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
         lambda c: F.struct(*[c[f].alias(f) for f in ("start", "rank", "end", "value")]),
     )
     spans = F.array_sort(F.concat("base", added))
-    return scanned.select("row.*", "base", spans.alias("spans"))
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("base", "spans")]
+    return scanned.select(*own, "base", spans.alias("spans"))
 
 
 def listed(spans: Column) -> Column:

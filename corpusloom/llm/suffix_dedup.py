@@ -23,7 +23,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import id_and_text, join_by_share, ship_package, shuffle_partitions
+from corpusloom.llm.common import (
+    exact_ids,
+    id_and_text,
+    join_by_share,
+    ship_package,
+    shuffle_partitions,
+    whole_ids,
+)
 from corpusloom.llm.hashing import mixed, powers
 from corpusloom.workspace import materialize
 
@@ -413,8 +420,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
                 kept = b"".join([*kept, raw[past:]])
                 out.append((len(raw), len(raw) - len(kept), len(runs), kept))
             frame = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
-            frame["doc_id"] = batch["doc_id"].astype("Int64").to_numpy()
-            yield frame.astype({"doc_id": "Int64"})
+            yield frame.assign(doc_id=whole_ids(batch["doc_id"]))
 
     schema = "n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept BINARY, doc_id BIGINT"
-    return rows.join(spans, "doc_id", "left").mapInPandas(run, schema)
+    return exact_ids(rows.join(spans, "doc_id", "left")).mapInPandas(run, schema)

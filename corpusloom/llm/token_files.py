@@ -20,7 +20,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import default_vocabulary, encoder
-from corpusloom.llm.common import id_and_text, ship_package, shuffle_partitions
+from corpusloom.llm.common import (
+    exact_ids,
+    id_and_text,
+    ship_package,
+    shuffle_partitions,
+    whole_ids,
+)
 from corpusloom.workspace import materialize, new_path
 
 END_ID = 0
@@ -196,7 +202,7 @@ def write_token_files(
     dealt = id_and_text(docs).repartitionByRange(shuffle_partitions(spark), "doc_id")
     ordered = dealt.sortWithinPartitions("doc_id", "text")
     write = _write_parts(folder, vocabulary, length, end_id)
-    return materialize(ordered.mapInPandas(write, MANIFEST), "token-manifest")
+    return materialize(exact_ids(ordered).mapInPandas(write, MANIFEST), "token-manifest")
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
@@ -210,14 +216,15 @@ def read_documents(manifest: DataFrame) -> DataFrame:
             for part in batch.itertuples():
                 reader = SequenceReader(part.path)
                 store, path = _open(part.index_path)
-                places = pa.ipc.open_file(store.open_input_file(path)).read_all().to_pandas()
+                table = pa.ipc.open_file(store.open_input_file(path)).read_all()
+                places = table.select(["start", "n_tokens"]).to_pandas()
                 sums = [
                     zlib.crc32(reader.ids(start, n).astype("<u4").tobytes())
                     for start, n in zip(places["start"], places["n_tokens"], strict=True)
                 ]
                 yield pd.DataFrame(
                     {
-                        "doc_id": places["doc_id"].astype("Int64"),
+                        "doc_id": whole_ids(table.column("doc_id").to_pylist()),
                         "start": places["start"] + part.base,
                         "n_tokens": places["n_tokens"],
                         "ids_crc32": np.array(sums, "int64"),

@@ -32,7 +32,7 @@ from corpusloom.llm.bpe import (
     packed,
     spelled,
 )
-from corpusloom.llm.common import id_and_text, ship_package
+from corpusloom.llm.common import exact_ids, id_and_text, ship_package, whole_ids
 
 PIECE = 16_384
 LEAF = 1_024
@@ -120,16 +120,12 @@ def _last_start(text: str, end: int) -> int | None:
 RESULT = "doc_id BIGINT, n_tokens BIGINT, ids BINARY, decoded STRING"
 
 
-def _whole(ids: pd.Series) -> list[int | None]:
-    return [None if pd.isna(i) else int(i) for i in ids]
-
-
 def _decoded(bpe: Encoder, doc_ids: list, found: list[bytes]) -> pd.DataFrame:
     ids = [np.frombuffer(x, "<u4").tolist() for x in found]
     texts = bpe.tokenizer.decode_batch(ids, skip_special_tokens=False)
     frame = pd.DataFrame(
         {
-            "doc_id": pd.array(doc_ids, "Int64"),
+            "doc_id": whole_ids(doc_ids),
             "n_tokens": [len(x) for x in ids],
             "ids": found,
             "decoded": pd.Series(texts, dtype=object),
@@ -150,7 +146,7 @@ def encode_documents(
     """
     ship_package(docs.sparkSession)
     vocabulary = vocabulary or default_vocabulary()
-    rows = id_and_text(docs)
+    rows = exact_ids(id_and_text(docs))
     finish = _digests if digest else _decoded
     schema = (
         "doc_id BIGINT, n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING"
@@ -163,7 +159,7 @@ def encode_documents(
         for batch in batches:
             for i in range(0, len(batch), 128):
                 some = batch.iloc[i : i + 128]
-                yield finish(tree.bpe, _whole(some["doc_id"]), list(map(tree.encode, some["text"])))
+                yield finish(tree.bpe, whole_ids(some["doc_id"]), list(map(tree.encode, some["text"])))
 
     def encode_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tree = TreeEncoder(encoder(vocabulary))
@@ -180,7 +176,7 @@ def encode_documents(
             pairs = [tree.join(*level[i : i + 2]) for i in range(0, len(level) - 1, 2)]
             level = pairs + level[2 * len(pairs) :]
         copies = int(held["copies"].iloc[0])
-        doc_id = _whole(held["doc_id"])[0]
+        doc_id = held["doc_id"].iloc[0]
         return finish(tree.bpe, [doc_id] * copies, [level[0][1]] * copies)
 
     long = F.length("text") > piece
@@ -194,7 +190,7 @@ def encode_documents(
         .groupBy("doc_id", "key", "number")
         .agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     )
-    fields = "doc_id BIGINT, key STRING, number INT, text STRING, copies BIGINT, ids BINARY"
+    fields = "doc_id STRING, key STRING, number INT, text STRING, copies BIGINT, ids BINARY"
     encoded = pieces.mapInPandas(encode_pieces, fields)
     of_long = encoded.groupBy("doc_id", "key").applyInPandas(join_pieces, schema)
     return of_short.unionByName(of_long)

@@ -6,7 +6,7 @@ read again as the next one's documents. All but the last return the columns of d
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import documents
@@ -39,14 +39,16 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret replaced by a mark and ``n_chars`` counted anew."""
-    found = find_secrets(docs)
+    # one struct, so that no column clashes with those of the result
+    found = find_secrets(docs.select("text", F.struct(*_columns(docs)).alias("document")))
     changed = F.size("spans") > 0
     text = F.when(changed, redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    cleaned = found.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        count = F.when(changed, F.length("text")).otherwise(F.col("n_chars"))
-        cleaned = cleaned.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(*docs.columns)
+    own = {c: F.col("document").getField(c) for c in docs.columns}
+    own["text"] = text
+    if "n_chars" in own:
+        count = F.when(changed, F.length(text)).otherwise(own["n_chars"])
+        own["n_chars"] = count.cast(docs.schema["n_chars"].dataType)
+    return found.select(*[column.alias(name) for name, column in own.items()])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,6 +69,10 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _columns(docs: DataFrame) -> list[Column]:
+    return [docs[c] for c in docs.columns]
+
+
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents in ``ids``; of rows that repeat an identifier all or none."""
     kept = ids.select(F.col("doc_id").alias("kept_id")).distinct()

@@ -11,9 +11,12 @@ their sets by binary search, for the exact overlap.
 
 Copies would make all pairs of a long list. Documents with equal sets are one to begin
 with. Then each list links its members to one pivot only, in rounds, and documents
-already in one component are not compared again; what remains is compared pair by pair,
-each document outside a list's largest component with all others of that list. So
-components are those of all links, and no link between two components is passed over.
+already in one component are not compared again. What remains are mostly documents edited
+too far to be linked: each outside a list's largest component is held against the others
+of that list by parity bitmaps. An element in one of two sets flips one bit, so bitmaps
+that differ in more bits than linked sets do in elements rule a pair out where the lists
+are joined. So components are those of all links, and no link between two components is
+passed over.
 
 Shingles are compared by 64-bit hashes.
 """
@@ -22,7 +25,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import partial, reduce
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -45,6 +49,9 @@ PAIRS_PER_ROW = 4
 # A round that links fewer than one in so many documents on lists is the last.
 WORTH = 100
 MAX_BROADCAST = 500_000
+# Words of 64 bits in a parity bitmap.
+WORDS = 16
+BITMAP = [f"w{i}" for i in range(WORDS)]
 
 
 _SPACE = np.zeros(256, bool)
@@ -148,8 +155,8 @@ def _chosen(short: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _short_lists(docs: DataFrame, often: np.ndarray, n: int, percent: int) -> DataFrame:
-    """``(doc_id, n, short, many)``: hashes of a document's short lists, those of common
-    cells in ``many``."""
+    """``(doc_id, n, short, many, bits)``: hashes of a document's short lists, those of
+    common cells in ``many``, and the parity bitmap of its set."""
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(often))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,13 +171,20 @@ def _short_lists(docs: DataFrame, often: np.ndarray, n: int, percent: int) -> Da
                 size = len(found) - least_overlap(len(found), percent) + 1
                 short = found[~late][:size]
                 many = found[late][: size - len(short)]
-                rows.append((doc_id, len(found), short.view("i8"), many.view("i8")))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "short", "many"])
+                rows.append((doc_id, len(found), short.view("i8"), many.view("i8"), _bitmap(found)))
+            yield pd.DataFrame(rows, columns=["doc_id", "n", "short", "many", "bits"])
 
-    schema = "doc_id BIGINT, n BIGINT, short ARRAY<BIGINT>, many ARRAY<BIGINT>"
+    schema = "doc_id BIGINT, n BIGINT, short ARRAY<BIGINT>, many ARRAY<BIGINT>, bits ARRAY<BIGINT>"
     return docs.mapInPandas(run, schema)
 
 
+def _bitmap(found: np.ndarray) -> np.ndarray:
+    """For each bit whether an odd number of elements fall on it."""
+    bits = (found & np.uint64(64 * WORDS - 1)).astype("i8")
+    odd = (np.bincount(bits, minlength=64 * WORDS) & 1).astype(bool)
+    return np.packbits(odd).view("i8")
+
+
 def _shared_lists(short: DataFrame) -> DataFrame:
     """``(hash, id, n)`` of the lists that have two documents or more."""
     id_ = F.col("doc_id").alias("id")
@@ -270,11 +284,13 @@ def _pivot_pairs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
     return best.select((-F.col("top.less")).alias("a"), "b")
 
 
-def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs between components that meet often enough on short lists."""
+def _all_pairs(rows: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """Pairs between components that meet often enough on short lists and whose bitmaps
+    do not rule them out."""
+    rows = rows.join(bitmaps, "id")
 
     def side(x: str) -> list:
-        names = {"id": x, "n": f"n_{x}", "component": f"of_{x}"}
+        names = {"id": x, "n": f"n_{x}", "component": f"of_{x}"} | {w: f"{w}_{x}" for w in BITMAP}
         return [F.col(c).alias(name) for c, name in names.items()]
 
     in_largest = F.col("component") == F.col("largest")
@@ -282,7 +298,7 @@ def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
     others = rows.select("hash", *side("b"), in_largest.alias("in_largest"))
     once = F.col("in_largest") | (F.col("a") < F.col("b"))
     met = outside.join(others, "hash").filter(
-        (F.col("of_a") != F.col("of_b")) & once & _pair_filter(percent)
+        (F.col("of_a") != F.col("of_b")) & once & _pair_filter(percent) & _alike(percent)
     )
     one, other = F.least("a", "b"), F.greatest("a", "b")
     sizes = (
@@ -297,12 +313,37 @@ def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return counted.filter(_enough(percent)).select("a", "b")
 
 
+def _needed(percent: int):
+    """The least overlap of a linked pair."""
+    return F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+
+
+def _alike(percent: int):
+    """Whether the bitmaps differ in no more bits than linked sets do in elements."""
+    differ = reduce(add, [F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in BITMAP])
+    return differ <= F.col("n_a") + F.col("n_b") - 2 * _needed(percent)
+
+
 def _enough(percent: int):
     """Whether the least overlap of a pair can be reached: what it met on short lists
     and the most it can still share on long ones."""
-    needed = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
     long = F.greatest(*[F.ceil(percent * F.col(x) / 100) - 1 for x in ("n_a", "n_b")])
-    return F.col("times") >= needed - long
+    return F.col("times") >= _needed(percent) - long
+
+
+def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after further ``links``, which are followed between components."""
+    if found is None:
+        return components(links)
+    ends = links
+    for end in ("a", "b"):
+        root = found.select(F.col("id").alias(end), F.col("component_id").alias(f"of_{end}"))
+        ends = ends.join(root, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    merged = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    new = merged.select(F.col("id").alias("component_id"), F.col("component_id").alias("root"))
+    old = found.join(new, "component_id", "left")
+    old = old.select("id", F.coalesce("root", "component_id").alias("component_id"))
+    return old.unionByName(merged.join(found.select("id"), "id", "left_anti"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
@@ -330,8 +371,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = N) -> Data
     short = materialize(_short_lists(whole, _often(passed), n, percent), "short-lists")
     lists = materialize(_shared_lists(_chosen(short, classes)), "lists")
 
+    words = [F.col("bits")[i].alias(w) for i, w in enumerate(BITMAP)]
+    bitmaps = short.select(F.col("doc_id").alias("id"), *words).dropDuplicates(["id"])
+
     members = lists.select("id").distinct().count()
-    links, found, exact = [], None, False
+    found, exact = None, False
     for round_ in range(MAX_ROUNDS + 1):
         open_rows = materialize(_open_lists(_placed(lists, found)), "open-lists")
         outside = open_rows.filter(F.col("component") != F.col("largest"))
@@ -342,8 +386,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = N) -> Data
             pairs = _pivot_pairs(open_rows, round_, percent)
         else:
             exact = exact or work <= PAIRS_PER_ROW * left or round_ == MAX_ROUNDS
-            pairs = (_all_pairs if exact else partial(_pivot_pairs, round_=round_))(
-                open_rows, percent=percent
+            pairs = (
+                _all_pairs(open_rows, bitmaps, percent)
+                if exact
+                else _pivot_pairs(open_rows, round_, percent)
             )
         pairs = materialize(pairs, "pairs")
         ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
@@ -351,8 +397,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = N) -> Data
         new = materialize(_verified(pairs, sets, percent), "links")
         n_new = new.count()
         if n_new:
-            links.append(new)
-            found = materialize(components(reduce(DataFrame.unionByName, links)), "components")
+            found = materialize(_joined(found, new), "components")
         if exact:
             break
         exact = n_new * WORTH < members

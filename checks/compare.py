@@ -19,7 +19,7 @@ from checks.queries import all_queries
 from corpusloom.session import get_session
 
 
-TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:

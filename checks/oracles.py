@@ -194,6 +194,21 @@ union all select 4, 0, file_name || ': ' || printf('%.6f', similarity) from scor
 """
 
 
+def _of_files(ctes: str) -> str:
+    """The same over files: some are hidden and some have no bytes."""
+    view = BOOKS.replace("books as (", "view as (", 1)
+    files = """,
+numbered as (select *, cast(replace(file_name, '.txt', '') as bigint) as n from view),
+books as (
+  select case n % 23 when 1 then '_' when 2 then '.' else '' end || file_name as file_name,
+    case when n % 19 = 3 then '' else text end as text
+  from numbered),
+folders as (select n || '-folder.txt' as file_name from numbered where n % 29 = 7)
+"""
+    assert ctes.startswith(BOOKS)
+    return view + files + ctes.removeprefix(BOOKS)
+
+
 def all_oracles() -> dict[str, str]:
     sizes = "(values (cast(null as bigint)), (16777216), (268435456), (4194304)) s(split_bytes)"
     found = {
@@ -203,6 +218,34 @@ def all_oracles() -> dict[str, str]:
             select split_bytes, (select count(*) from counts) as words,
               (select count(*) from words) as total from {sizes}""",
         "books_scan": f"with {BOOKS} select file_name, text from books",
+        "word_count_positions": f"""with {WORDS}
+            select word, count, row_number() over (order by word) as position from counts""",
+        "books_per_year_positions": f"""with {METADATA}
+            select release_year, count(*) as book_count,
+              row_number() over (order by release_year desc) as position
+            from dated group by release_year""",
+        "books_per_language_positions": f"""with {METADATA}
+            select language, count(*) as count,
+              row_number() over (order by count(*) desc, language) as position
+            from metadata where language <> '' group by language""",
+        "degree_positions": f"""with {AUTHORS}, {_edges(5)}
+            select 'out' as side, author_from as author,
+              row_number() over (order by count(*) desc, author_from) as position
+            from edges group by author_from
+            union all select 'in', author_to, row_number() over (order by count(*) desc, author_to)
+            from edges group by author_to""",
+        "similar_positions": f"""with {HASHED}
+            select file_name, round(similarity, 6) as similarity,
+              row_number() over (order by round(similarity, 10) desc, file_name) as position
+            from scores""",
+        "file_outcomes": f"""with {_of_files(BOOKS)}
+            select file_name, text, false as failed from books
+            union all select file_name, null, true from folders""",
+        "file_failures": f"with {_of_files(BOOKS)} select file_name from folders",
+        "file_metadata": f"with {_of_files(METADATA)} select * from metadata",
+        "file_term_frequency": f"with {_of_files(TF)} select file_name, term, tf from tf",
+        "file_word_count": f"""with {_of_files(BOOKS)},
+            {WORDS.replace('from documents', 'from books')} select word, count from counts""",
         "metadata": f"with {METADATA} select * from metadata",
         "metadata_csv": f"with {METADATA} select * from metadata",
         "metadata_sample": f"""with {METADATA} select {_cut('file_name')}, {_cut('title')},

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import book_files
 from checks.books_view import books, documents
 from corpusloom.functions import text
 from corpusloom.operators import influence as net
 from corpusloom.operators import metadata as meta
 from corpusloom.operators import tfidf
+from corpusloom.operators.positions import with_position
 from corpusloom.operators.preview import first_rows
-from corpusloom.operators.similarity import hashed_vectors, target_book, vector_entries
+from corpusloom.operators.similarity import (
+    by_similarity,
+    hashed_vectors,
+    target_book,
+    vector_entries,
+)
 from corpusloom.operators.word_count import sorted_word_count, word_count
 from corpusloom.plans import influence, metadata, similarity
 from corpusloom.plans.word_count import SPLIT_SIZES
@@ -211,12 +218,51 @@ def similarity_report_files(spark: SparkSession, folder: str) -> DataFrame:
     return lines(spark, path).withColumnRenamed("value", "line")
 
 
+# Positions
+
+
+def _positions(query: Query, label: str, order: Callable[[], list[Column]]) -> Query:
+    return lambda spark, folder: with_position(materialize(query(spark, folder), label), order())
+
+
+def _degree_positions(spark: SparkSession, folder: str) -> DataFrame:
+    network = influence.network(books(spark, folder))
+    sides = []
+    for side, table in (("out", network.out_degree()), ("in", network.in_degree())):
+        author, degree = table.columns
+        found = with_position(materialize(table, "degrees"), [F.desc(degree), F.asc(author)])
+        renamed = found.select(F.lit(side).alias("side"), F.col(author).alias("author"), "position")
+        sides.append(renamed)
+    return sides[0].unionByName(sides[1])
+
+
+def _similar_positions(spark: SparkSession, folder: str) -> DataFrame:
+    scores = similarity.hashed(books(spark, folder)).similarities
+    return _rounded(with_position(scores, by_similarity()), "similarity")
+
+
 def all_queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "word_count": words,
         "word_count_files": words_of_files,
         "word_count_split_sizes": words_by_split_size,
         "books_scan": books,
+        "word_count_positions": _positions(words, "words", lambda: [F.asc("word")]),
+        "books_per_year_positions": _positions(
+            _of_metadata(meta.books_per_year), "years", lambda: [F.desc("release_year")]
+        ),
+        "books_per_language_positions": _positions(
+            _of_metadata(meta.books_per_language),
+            "languages",
+            lambda: [F.desc("count"), F.asc("language")],
+        ),
+        "degree_positions": _degree_positions,
+        "similar_positions": _similar_positions,
+        "file_outcomes": book_files.outcomes,
+        "file_failures": book_files.failures,
+        "file_metadata": book_files.metadata,
+        "file_term_frequency": book_files.terms,
+        "file_word_count": book_files.words,
         "metadata": book_metadata,
         "metadata_csv": metadata_csv,
         "metadata_sample": metadata_sample,

@@ -6,7 +6,8 @@ import argparse
 
 from corpusloom.plans import influence, metadata, similarity, word_count
 from corpusloom.session import get_session
-from corpusloom.sources.files import books, unreadable_books
+from corpusloom.sources.chunks import book_outcomes, file_listing, unread
+from corpusloom.sources.files import books
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -38,9 +39,9 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("source", help="folder of .txt files")
         job.add_argument("target", help="folder for the result files")
         job.add_argument(
-            "--skip-unreadable",
+            "--stop",
             action="store_true",
-            help="go on without files that cannot be read, and name them",
+            help="stop at a file that cannot be read, where others go on and name it",
         )
         if name == "similarity":
             job.add_argument("--book", default=similarity.TARGET)
@@ -52,9 +53,17 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _books(spark, options):
-    if options.skip_unreadable:
-        unreadable_books(spark, options.source).show(truncate=False)
-    return books(spark, options.source, skip_unreadable=options.skip_unreadable)
+    if options.stop:
+        return books(spark, options.source)
+    return book_outcomes(spark, options.source).filter("error is null").drop("error")
+
+
+def _name_unread(spark, options, seen) -> None:
+    """By the listing and the names in a written table; nothing is read again."""
+    if not options.stop:
+        left = unread(file_listing(spark, options.source), seen)
+        print("not read:")
+        left.orderBy("file_name").show(truncate=False)
 
 
 def _word_count(spark, options) -> None:
@@ -64,6 +73,7 @@ def _word_count(spark, options) -> None:
 
 def _metadata(spark, options) -> None:
     found = metadata.report(_books(spark, options))
+    _name_unread(spark, options, found.metadata)
     found.counts().show()
     found.sample().show(truncate=False)
     found.per_year().show(truncate=False)
@@ -76,6 +86,8 @@ def _metadata(spark, options) -> None:
 def _similarity(spark, options) -> None:
     compare = similarity.exact if options.exact else similarity.hashed
     found = compare(_books(spark, options), options.book)
+    _name_unread(spark, options, found.books())
+    found.counts().show()
     print(f"compared with {found.target}")
     found.top().show(truncate=False)
     found.save(options.target)
@@ -83,6 +95,9 @@ def _similarity(spark, options) -> None:
 
 def _network(spark, options) -> None:
     found = influence.network(_books(spark, options))
+    _name_unread(spark, options, found.fields)
+    found.counts().show()
+    found.sample().show(truncate=False)
     found.variants().show(10, truncate=False)
     for influential, influenced in found.top_of_windows().values():
         influential.show(truncate=False)

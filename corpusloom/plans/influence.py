@@ -6,8 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from corpusloom.operators import influence as op
+from corpusloom.operators.preview import first_rows
 from corpusloom.sinks.files import write_csv
 from corpusloom.workspace import materialize
 
@@ -21,6 +23,21 @@ class InfluenceNetwork:
 
     authors: DataFrame
     nodes: DataFrame
+    fields: DataFrame  # one row for each book, with or without an author
+
+    def counts(self) -> DataFrame:
+        """``(measure, n)``: books in all, those with author and year, and authors."""
+        books = self.fields.agg(F.lit("books").alias("measure"), F.count("*").alias("n"))
+        named = self.authors.agg(
+            F.lit("author books").alias("measure"),
+            F.count("*").alias("n"),
+        )
+        spelled = self.authors.select("author_norm").distinct()
+        authors = spelled.agg(F.lit("authors").alias("measure"), F.count("*").alias("n"))
+        return books.unionByName(named).unionByName(authors)
+
+    def sample(self, n: int = 10) -> DataFrame:
+        return first_rows(self.authors, n, "file_name")
 
     def variants(self) -> DataFrame:
         return op.author_variants(self.authors)
@@ -75,5 +92,6 @@ class InfluenceNetwork:
 
 
 def network(books: DataFrame) -> InfluenceNetwork:
-    authors = op.authors(materialize(op.author_fields(books), "author-fields"))
-    return InfluenceNetwork(authors, materialize(op.nodes(authors), "nodes"))
+    fields = materialize(op.author_fields(books), "author-fields")
+    authors = op.authors(fields)
+    return InfluenceNetwork(authors, materialize(op.nodes(authors), "nodes"), fields)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from corpusloom.operators import similarity as op
 from corpusloom.operators.tfidf import term_vectors
@@ -22,6 +23,22 @@ class SimilarityReport:
     target: str | None
     similarities: DataFrame
 
+    def books(self) -> DataFrame:
+        """The names of all books, the target's among them."""
+        names = self.similarities.select("file_name")
+        if self.target is None:
+            return names
+        # one row is added to a written table
+        own = names.sparkSession.createDataFrame([(self.target,)], names.schema)
+        return names.unionByName(own)
+
+    def counts(self) -> DataFrame:
+        """``(measure, n)``: books in all and those like the target at all."""
+        alike = self.similarities.filter("similarity > 0")
+        sizes = [("books", self.books()), ("alike", alike)]
+        found = [df.agg(F.lit(name).alias("measure"), F.count("*").alias("n")) for name, df in sizes]
+        return found[0].unionByName(found[1])
+
     def top(self, n: int = 5) -> DataFrame:
         return op.top_similar(self.similarities, n)
 

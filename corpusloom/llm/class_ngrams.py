@@ -297,14 +297,19 @@ def score(rows: DataFrame, model: ClassModel) -> DataFrame:
     listed = listed.select("row", F.col("w.words").alias("word"), F.col("w.times").alias("n"))
     met = listed.join(model.vocabulary, "word", "left")
     c = F.col("c")
-    # unseen words share what the discount has taken from the seen ones
+    # Unseen words share what the discount has taken from the seen ones by their spelling:
+    # each byte, and the end behind the last, is one of 257. So all words together have
+    # no more than their class.
     whole = float(max(model.n_other, 1))
     unseen = model.discount * model.n_other_words / whole if model.n_other else 1.0
     unseen = max(unseen, 0.5 / (whole + 1))
-    emission = F.when(c.isNull(), F.lit(unseen)).otherwise((c - model.discount) / whole)
+    spelled = (F.octet_length("word") + 1) * float(np.log10(257))
+    emission = F.when(c.isNull(), float(np.log10(unseen)) - spelled).otherwise(
+        F.log10((c - model.discount) / whole)
+    )
     others = met.groupBy("row").agg(
         F.sum(F.when(c.isNotNull(), F.col("n")).otherwise(0)).alias("known"),
-        F.sum(F.col("n") * F.log10(emission)).alias("score"),
+        F.sum(F.col("n") * emission).alias("score"),
         F.sum(F.col("n") * F.log10(F.coalesce(c, F.lit(0)) + 0.5)).alias("base"),
     )
     joined = first.drop("words", "times").join(others, "row", "left")

@@ -132,6 +132,22 @@ def test_class_model_is_a_distribution(docs):
     assert emitted[np.unique(classes)] == pytest.approx(1)
 
 
+def test_unseen_words_share_their_mass(spark):
+    """One class besides the end: a text's words have at most what its class has."""
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1]
+    known = [i for i in range(400) if i not in held][:20]
+    words = ["x", "y", "zz", "é", "a", "b", "c"]
+    rows = [(i, "a b a c") for i in known] + list(zip(held, words, strict=False))
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    found = by_id(class_ngrams.class_bigram_scores(frame, clustered=1, n_classes=1, rounds=1))
+    score = {w: found[i]["score"] for i, w in zip(held, words, strict=False)}
+    assert score["x"] == pytest.approx(score["y"])
+    assert score["zz"] == pytest.approx(score["x"] - np.log10(257))
+    assert score["é"] == pytest.approx(score["zz"])
+    # every word of one byte unseen, and the seen ones
+    assert 10 ** score["x"] * 253 + sum(10 ** score[w] for w in "abc") < 1
+
+
 def test_packing(docs, library):
     pieces = packing.pack(docs)
     held, covered = defaultdict(list), defaultdict(list)

@@ -10,7 +10,7 @@ long lists bounds the rest, and pairs below the required overlap go. The others
 their sets by binary search, for the exact overlap.
 
 Copies would make all pairs of a long list. Documents with equal sets are one to begin
-with. Then each list links its members to one pivot only, in rounds, and documents
+with. Then each list links its members to few pivots only, in rounds, and documents
 already in one component are not compared again. What remains are mostly documents edited
 too far to be linked: each outside a list's largest component is held against the others
 of that list by parity bitmaps. An element in one of two sets flips one bit, so bitmaps
@@ -46,8 +46,10 @@ SKETCH_PIECES = 16
 OFTEN = 16
 MAX_ROUNDS = 8
 PAIRS_PER_ROW = 4
-# A round that links fewer than one in so many documents on lists is the last.
-WORTH = 100
+# Pivots of an open list from the second round on, and the last round: the one that links
+# fewer than one in so many documents outside the largest components.
+PIVOTS = 4
+WORTH = 20
 MAX_BROADCAST = 500_000
 # Words of 64 bits in a parity bitmap.
 WORDS = 16
@@ -269,14 +271,18 @@ def _open_lists(rows: DataFrame) -> DataFrame:
 def _pivot_pairs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
     """For each document the pivot of another component that it meets most often, if
     that could be enough; it meets a pivot only on lists where it is the pivot."""
-    order = F.col("id") if round_ == 0 else F.xxhash64("id", F.lit(round_))
-    first = F.min(F.struct(order.alias("order"), "id", "n", "component"))
-    pivots = rows.groupBy("hash").agg(first.alias("pivot")).select(
-        "hash",
-        F.col("pivot.id").alias("a"),
-        F.col("pivot.n").alias("n_a"),
-        F.col("pivot.component").alias("of_a"),
-    )
+    seeds = range(PIVOTS * round_, PIVOTS * (round_ + 1))
+    orders = [F.xxhash64("id", F.lit(s)) for s in seeds] if round_ else [F.col("id")]
+    firsts = [F.min(F.struct(o.alias("order"), "id", "n", "component")) for o in orders]
+    names = [f"p{i}" for i in range(len(firsts))]
+    each = [
+        F.struct(
+            F.col(p)["id"].alias("a"), F.col(p)["n"].alias("n_a"), F.col(p)["component"].alias("of_a")
+        )
+        for p in names
+    ]
+    held = rows.groupBy("hash").agg(*[f.alias(p) for f, p in zip(firsts, names, strict=True)])
+    pivots = held.select("hash", F.inline(F.array_distinct(F.array(*each))))
     members = rows.select("hash", F.col("id").alias("b"), F.col("n").alias("n_b"), "component")
     met = members.join(pivots, "hash").filter((F.col("of_a") != F.col("component")) & _pair_filter(percent))
     counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("times"))
@@ -374,12 +380,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = N) -> Data
     words = [F.col("bits")[i].alias(w) for i, w in enumerate(BITMAP)]
     bitmaps = short.select(F.col("doc_id").alias("id"), *words).dropDuplicates(["id"])
 
-    members = lists.select("id").distinct().count()
     found, exact = None, False
     for round_ in range(MAX_ROUNDS + 1):
         open_rows = materialize(_open_lists(_placed(lists, found)), "open-lists")
         outside = open_rows.filter(F.col("component") != F.col("largest"))
-        left, work = outside.agg(F.count("*"), F.sum("size")).first()
+        left, work, documents = outside.agg(
+            F.count("*"), F.sum("size"), F.count_distinct("id")
+        ).first()
         if not left:
             break
         if round_ == 0:
@@ -400,7 +407,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = N) -> Data
             found = materialize(_joined(found, new), "components")
         if exact:
             break
-        exact = n_new * WORTH < members
+        exact = n_new * WORTH < documents
 
     named = classes.withColumnRenamed("class_id", "id")
     if found is not None:

@@ -287,6 +287,19 @@ def all_oracles() -> dict[str, str]:
         "influence_edges_csv": f"with {AUTHORS}, {_edges(5)} select * from edges",
         "edges_of_author": f"""with {AUTHORS}, {_edges(5)} select * from edges
             where 'Writer 42' in (author_from, author_to)""",
+        "edge_index_x5": f"""with {AUTHORS},
+            nodes as (select distinct author_original, author_norm, release_year from authors)
+            select row_number() over (order by release_year, author_original, author_norm) as position,
+              author_original, author_norm, release_year,
+              1 + (select count(*) from nodes b where b.release_year < a.release_year + 5) as partners_from,
+              (select count(*) from nodes b where b.release_year >= a.release_year + 5
+                and b.author_norm = a.author_norm) as own_partners,
+              (select count(*) from nodes b where b.release_year >= a.release_year + 5
+                and b.author_norm <> a.author_norm) as out_edges
+            from nodes a""",
+        "edges_from_index_x5": f"with {AUTHORS}, {_edges(5)} select * from edges",
+        "edges_of_authors_x5": f"""with {AUTHORS}, {_edges(5)} select * from edges
+            where author_from in ('Writer 7', 'Writer 42', 'nobody')""",
         "window_sweep": f"""with {AUTHORS}, {', '.join(_edges(x, f'e{x}') for x in WINDOWS)},
             sizes as ({' union all '.join(f'select {x} as window_years, count(*) as edges from e{x}' for x in WINDOWS)}),
             compared as (select window_years, edges, case when (select count(*) from e5) > 0
@@ -320,6 +333,9 @@ def all_oracles() -> dict[str, str]:
             select 'out' as side, author_from as author, count(*) as degree from edges group by author_from
             union all select 'in', author_to, count(*) from edges group by author_to""",
     }
+    found["similar_indexed_top5"] = (
+        f"with {EXACT} select rank, file_name, round(similarity, 6) as similarity from top"
+    )
     for kind, cte in (("exact", EXACT), ("hashed", HASHED)):
         found[f"similar_{kind}_top5"] = (
             f"with {cte} select rank, file_name, round(similarity, 6) as similarity from top"

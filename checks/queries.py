@@ -218,6 +218,21 @@ def similarity_report_files(spark: SparkSession, folder: str) -> DataFrame:
     return lines(spark, path).withColumnRenamed("value", "line")
 
 
+def similar_by_index(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(similarity.top_by_index(books(spark, folder)).top, "similarity")
+
+
+# Edges from their index
+
+
+def _expanded(network: influence.InfluenceNetwork, authors: list[str] | None = None) -> DataFrame:
+    sources = None
+    if authors:
+        session = network.nodes.sparkSession
+        sources = session.createDataFrame([(a,) for a in authors], "author_original STRING")
+    return net.expand_edges(network.edge_index(), sources)
+
+
 # Positions
 
 
@@ -279,6 +294,9 @@ def all_queries() -> dict[str, Query]:
         "influence_edges_x5": _network(lambda n: n.edges()),
         "influence_edges_csv": edges_csv,
         "edges_of_author": _network(lambda n: n.edges_of("Writer 42")),
+        "edge_index_x5": _network(lambda n: n.edge_index()),
+        "edges_from_index_x5": _network(_expanded),
+        "edges_of_authors_x5": _network(lambda n: _expanded(n, ["Writer 7", "Writer 42", "nobody"])),
         "degrees_csv": degrees_csv,
         "window_sweep": window_sweep,
         "out_degree_authors_x5": _network(lambda n: n.out_degree(distinct_authors=True)),
@@ -293,6 +311,7 @@ def all_queries() -> dict[str, Query]:
         "hashed_unit_weights": hashed_weights,
         "similarity_target": similarity_target,
         "similar_exact_top5": _similar(similarity.exact, lambda s: s.top()),
+        "similar_indexed_top5": similar_by_index,
         "similar_exact_all": _similar(similarity.exact, lambda s: s.ranked()),
         "similar_hashed_top5": _similar(similarity.hashed, lambda s: s.top()),
         "similar_hashed_all": _similar(similarity.hashed, lambda s: s.ranked()),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import headers, names
 from corpusloom.operators.joins import lookup_join
+from corpusloom.operators.positions import with_position
 from corpusloom.workspace import materialize
 
 WINDOWS = (1, 5, 10, 20)
@@ -263,6 +264,101 @@ def edges_of(node_table: DataFrame, author: str, window: int) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
+def edge_index(node_table: DataFrame, window: int) -> DataFrame:
+    """All edges of a window in as many rows as there are nodes.
+
+    ``(position, author_original, author_norm, release_year, partners_from, own_partners,
+    out_edges)``: nodes are numbered from 1 by year, so the partners of a node are all
+    positions from ``partners_from`` on, less the ``own_partners`` of them that have its
+    own key. ``node_table`` is read several times; pass a written table.
+    """
+    order = [F.asc("release_year"), F.asc("author_original"), F.asc("author_norm")]
+    near = (Window.unboundedPreceding, window - 1)
+    by_key = node_table.groupBy("author_norm", "release_year").agg(F.count("*").alias("n"))
+    of_key = Window.partitionBy("author_norm")
+    own = materialize(
+        by_key.select(
+            "author_norm",
+            "release_year",
+            "n",
+            (
+                F.sum("n").over(of_key)
+                - F.sum("n").over(of_key.orderBy("release_year").rangeBetween(*near))
+            ).alias("own_partners"),
+        ),
+        "own-partners",
+    )
+    # a year has four digits, so this window sees under 10 000 rows
+    every_year = Window.partitionBy(F.lit(0))
+    before = F.sum("n").over(every_year.orderBy("release_year").rangeBetween(*near))
+    by_year = own.groupBy("release_year").agg(F.sum("n").alias("n"))
+    starts = by_year.select(
+        "release_year",
+        (before + 1).alias("partners_from"),
+        (F.sum("n").over(every_year) - before).alias("later"),
+    )
+    placed = with_position(node_table, order)
+    found = lookup_join(placed, own, ["author_norm", "release_year"], "n")
+    return found.join(F.broadcast(starts), "release_year").select(
+        "position",
+        "author_original",
+        "author_norm",
+        "release_year",
+        "partners_from",
+        "own_partners",
+        (F.col("later") - F.col("own_partners")).alias("out_edges"),
+    )
+
+
+def expand_edges(
+    index: DataFrame, sources: DataFrame | None = None, block_nodes: int = 1024
+) -> DataFrame:
+    """The edges of a written :func:`edge_index`, as :func:`influence_edges` gives them;
+    with ``sources``, a table ``(author_original)``, only those that begin at one of them.
+
+    Positions fall into blocks of ``block_nodes``. Only pairs of blocks that hold edges of
+    the wanted sources meet, and a key of the join is one such pair, so all are alike in size.
+    """
+
+    def block(place: str) -> Column:
+        return F.floor((F.col(place) - 1) / block_nodes)
+
+    begins = index.filter(F.col("out_edges") > 0)
+    if sources is not None:
+        begins = begins.join(sources.distinct(), "author_original", "left_semi")
+    last = index.agg(F.coalesce(F.max("position"), F.lit(1))).first()[0]
+    final = F.lit((last - 1) // block_nodes).cast("bigint")
+    starts = begins.select("*", block("position").alias("block_from"))
+    earlier = starts.select(
+        F.col("author_original").alias("author_from"),
+        F.col("author_norm").alias("norm_from"),
+        F.col("release_year").alias("year_from"),
+        "partners_from",
+        "block_from",
+        F.explode(F.sequence(block("partners_from"), final)).alias("block_to"),
+    )
+    first_to = starts.groupBy("block_from").agg(F.min("partners_from").alias("partners_from"))
+    pairs = first_to.select(
+        "block_from", F.explode(F.sequence(block("partners_from"), final)).alias("block_to")
+    )
+    later = index.select(
+        F.col("author_original").alias("author_to"),
+        F.col("author_norm").alias("norm_to"),
+        F.col("release_year").alias("year_to"),
+        "position",
+        block("position").alias("block_to"),
+    ).join(pairs, "block_to")
+    met = earlier.join(later.hint("merge"), ["block_from", "block_to"])
+    partner = (F.col("position") >= F.col("partners_from")) & (F.col("norm_from") != F.col("norm_to"))
+    return met.filter(partner).select(
+        "author_from",
+        "author_to",
+        "year_from",
+        "year_to",
+        (F.col("year_to") - F.col("year_from")).alias("year_diff"),
+    )
+
+
 def _block_spans(node_table: DataFrame, window: int, block_nodes: int) -> DataFrame:
     """One row per year: its blocks, and those of the years far enough away.
 

@@ -48,6 +48,10 @@ class InfluenceNetwork:
     def edges_of(self, author: str, window: int = BASE_WINDOW) -> DataFrame:
         return op.edges_of(self.nodes, author, window)
 
+    def edge_index(self, window: int = BASE_WINDOW) -> DataFrame:
+        """All edges in one row a node; ``expand_edges`` lists those of any authors."""
+        return materialize(op.edge_index(self.nodes, window), "edge-index")
+
     def out_degree(self, window: int = BASE_WINDOW, distinct_authors: bool = False) -> DataFrame:
         return op.out_degree(self._points(distinct_authors), window)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators import similarity as op
+from corpusloom.operators.postings import Found, posting_index, search
 from corpusloom.operators.tfidf import term_vectors
 from corpusloom.sinks.files import write_report
 from corpusloom.workspace import materialize
@@ -59,6 +60,12 @@ def exact(books: DataFrame, wanted: str = TARGET) -> SimilarityReport:
     return _scored(target, op.exact_similarity(vectors, target))
 
 
+def top_by_index(books: DataFrame, wanted: str = TARGET, n: int = 5) -> Found:
+    """The top of :func:`exact` from an index of postings, most of which stay unread."""
+    vectors = materialize(term_vectors(books), "term-vectors")
+    return search(posting_index(vectors), _target(vectors, wanted), n)
+
+
 def hashed(books: DataFrame, wanted: str = TARGET, buckets: int = 65536) -> SimilarityReport:
     """Terms share ``buckets`` dimensions by hash, so that unlike ones may meet."""
     vectors = op.hashed_vectors(books, buckets)

@@ -47,6 +47,34 @@ def test_edges_equal_the_definition(spark, window, block):
     assert set(found) == plain_edges(nodes, window)
 
 
+@pytest.mark.parametrize("window", [5, 5000])
+def test_edge_index_is_linear_and_expands_to_all_edges(spark, window):
+    nodes = skewed_nodes()
+    index = materialize(op.edge_index(table(spark, nodes), window), "index")
+    wanted = plain_edges(nodes, window)
+    assert index.count() == len(nodes)
+    assert index.agg(F.sum("out_edges")).first()[0] == len(wanted)
+    for block in (1, 64) if window == 5 else (7,):
+        found = rows(op.expand_edges(index, block_nodes=block))
+        assert len(found) == len(set(found))
+        assert set(found) == wanted
+
+
+def test_edges_of_some_sources(spark):
+    nodes = skewed_nodes()
+    index = materialize(op.edge_index(table(spark, nodes), 5), "index")
+    chosen = ["Poet 3", "Writer 7", "Writer 7", "nobody"]
+    sources = spark.createDataFrame([(a,) for a in chosen], "author_original STRING")
+    found = rows(op.expand_edges(index, sources, 7))
+    assert len(found) == len(set(found))
+    assert set(found) == {e for e in plain_edges(nodes, 5) if e[0] in chosen}
+
+
+def test_edge_index_of_no_nodes(spark):
+    index = materialize(op.edge_index(table(spark, set()), 5), "index")
+    assert index.collect() == op.expand_edges(index).collect() == []
+
+
 @pytest.mark.parametrize("author", ["Poet 3", "Writer 7", "nobody"])
 def test_edges_of_one_author(spark, author):
     nodes = skewed_nodes()

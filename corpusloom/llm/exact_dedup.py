@@ -12,7 +12,7 @@ node as one entry from each of at most 16 others.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import id_and_text, join_by_share, shuffle_partitions
@@ -49,18 +49,31 @@ def merge_runs(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         own = F.substring(F.lower(F.hex("digest")), 1, level)
         node = F.concat(own, F.expr(f"substring(node, {level + 1})"))
         moved = runs.withColumn("node", node).repartition(slots, "node")
-        runs = _merge(moved.sortWithinPartitions("node", *RUN_KEY))
+        runs = _merge(moved)
     return runs.drop("node")
 
 
 def _merge(runs: DataFrame) -> DataFrame:
-    return runs.groupBy("node", *RUN_KEY).agg(
+    """Equal entries of a node become one.
+
+    Structs do not fit into the buffer of a hash aggregate, so Spark sorts the runs and
+    merges neighbours, before the rows move and again where they meet.
+    """
+    merged = runs.groupBy("node", *RUN_KEY).agg(
         F.sum("group_size").alias("group_size"),
-        F.min("smallest").alias("smallest"),
-        F.max("largest").alias("largest"),
+        F.min(_named("smallest")).alias("least"),
+        F.max(_named("largest")).alias("most"),
+    )
+    return merged.select(
+        "node", *RUN_KEY, "group_size", F.col("least.smallest"), F.col("most.largest")
     )
 
 
+def _named(column: str) -> Column:
+    # null without an identifier, so that it is not the smallest
+    return F.when(F.col(column).isNotNull(), F.struct(column))
+
+
 def exact_duplicates(docs: DataFrame, keep: str = "smallest", rounds: int = ROUNDS) -> DataFrame:
     """``(doc_id, keep_id, group_size, kept, text_sha256)``, one row for each row.
 

@@ -334,6 +334,25 @@ def test_exact_dedup(docs):
         assert row["text_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_digest_runs_are_sorted_and_merged(docs):
+    merged = exact_dedup.merge_runs(exact_dedup.digest_rows(docs))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    rounds = exact_dedup.ROUNDS + 1
+    assert plan.count("SortAggregate") == 2 * rounds
+    assert plan.count("Exchange hashpartitioning(node") == rounds and "HashAggregate" not in plan
+
+
+def test_copies_without_an_identifier(spark):
+    rows = [(None, "a"), (7, "a"), (3, "a"), (None, "b"), (None, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    for keep, stays in (("smallest", 3), ("largest", 7)):
+        found = exact_dedup.exact_duplicates(docs, keep=keep).collect()
+        seen = sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["kept"]) for r in found)
+        a, one = str(stays), [("None", "None", 1, True)]
+        group = [("None", a, 3, False), ("3", a, 3, stays == 3), ("7", a, 3, stays == 7)]
+        assert seen == sorted(group + one + [("None", "5", 2, False), ("5", "5", 2, True)])
+
+
 def test_suffix_array():
     text = np.frombuffer(b"\2mississippi\1mississippi\0", "u1")
     found = suffix_dedup.suffix_array(text, len(text))

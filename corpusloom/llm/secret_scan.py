@@ -11,14 +11,16 @@ Noise has uniform p-values, ordinary text piles up near 0. Within each band of
 lengths the p-values from one half up therefore tell how much noise there is, and
 what exceeds its share beyond a cutoff is ordinary text. The cutoff of the band is
 the smallest one at which the estimated share of ordinary text is at most ``fdr``.
-Every distinct token counts once, however many copies it has. Bands with fewer than
-``FEW`` of them are pooled with their neighbours; if all together are fewer, nothing can
-be estimated and the cutoff is ``FLOOR``, which misses that share of noise.
+Every distinct token counts once, however many copies it has. ``WEIGHT`` tokens spread
+like those of all bands are added to each band, and as many of uniform noise to those of
+all bands. The fewer tokens a band has, the more it leans on the others, and these on
+noise, without a number from which on another rule holds.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -54,31 +56,67 @@ ENCODINGS = (
 BANDS = (16, 20, 24, 32, 40, 64, 128)
 BINS = 100
 FDR = 0.05
-FEW = 100
-FLOOR = 0.01
+WEIGHT = 100
 
 SPAN = "array<struct<start:int,rank:int,end:int,value:string>>"
 
 
+def _halvings(values: Column) -> Column:
+    """How often an array that is not empty can be halved, rounded up."""
+    return F.ceil(F.log2(F.size(values).cast("double"))).cast("int")
+
+
+def _power(k: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1), k)
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """``values`` combined with all before them, by passes over the array that each reach
+    twice as far back; ``combine`` gets null where nothing lies before. Not for an empty
+    array."""
+
+    def further(a: Column, k: Column) -> Column:
+        return F.transform(a, lambda x, i: combine(x, F.get(a, i - _power(k))))
+
+    return F.aggregate(F.sequence(F.lit(0), _halvings(values)), values, further)
+
+
+def _sums(values: Column) -> Column:
+    return running(values, lambda x, before: x + F.coalesce(before, F.lit(0)))
+
+
+def _maxima(values: Column) -> Column:
+    return running(values, lambda x, before: F.greatest(x, F.coalesce(before, F.lit(0))))
+
+
+def _below(ordered: Column, bound: Column) -> Column:
+    """How many of ``ordered``, ascending and not empty, are less than ``bound``."""
+
+    def closer(at: Column, k: Column) -> Column:
+        reached = at + _power(k)
+        return F.when(F.get(ordered, reached - 1) < bound, reached).otherwise(at)
+
+    return F.aggregate(F.sequence(_halvings(ordered), F.lit(0), F.lit(-1)), F.lit(0), closer)
+
+
 def matches(text: Column, pattern: str, rank: int, group: int = 0) -> Column:
     """All leftmost matches as ``(start, rank, end, value of the group)``, by code
     points: the lengths of the pieces between them give their places."""
 
     def placed(pieces: Column, whole: Column, values: Column) -> Column:
-        def step(a: Column, i: Column) -> Column:
-            start = a["at"] + F.length(F.get(pieces, i))
-            end = start + F.length(F.get(whole, i))
-            found = F.struct(
-                start.alias("start"),
-                F.lit(rank).alias("rank"),
-                end.alias("end"),
-                F.get(values, i).alias("value"),
-            )
-            return F.struct(end.alias("at"), F.concat(a["found"], F.array(found)).alias("found"))
-
-        begin = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
-        places = F.sequence(F.lit(0), F.size(whole) - 1)
-        return F.aggregate(places, begin, step, lambda a: a["found"])
+        lengths = F.transform(whole, lambda m, i: F.length(F.get(pieces, i)) + F.length(m))
+        return let(
+            _sums(lengths),
+            lambda ends: F.transform(
+                whole,
+                lambda m, i: F.struct(
+                    (F.get(ends, i) - F.length(m)).alias("start"),
+                    F.lit(rank).alias("rank"),
+                    F.get(ends, i).alias("end"),
+                    F.get(values, i).alias("value"),
+                ),
+            ),
+        )
 
     found = let(
         F.split(text, pattern, -1),
@@ -176,6 +214,19 @@ def randomness(value: Column) -> Column:
     return found
 
 
+def _apart(tokens: Column, base: Column) -> Column:
+    """The tokens that overlap none of ``base``, which is ordered by start and not empty: of
+    the spans that start before a token ends, none may reach beyond the token's start."""
+
+    def kept(starts: Column, reach: Column) -> Column:
+        return F.filter(
+            tokens,
+            lambda t: F.coalesce(F.get(reach, _below(starts, t["end"]) - 1), F.lit(0)) <= t["start"],
+        )
+
+    return let(base["start"], lambda starts: let(_maxima(base["end"]), lambda reach: kept(starts, reach)))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` with ``base`` spans and ``candidates`` of the battery
     with their p-values."""
@@ -185,11 +236,8 @@ def scan(docs: DataFrame) -> DataFrame:
     assign = F.filter(matches(text, ASSIGN, 0, 2), lambda m: F.length(m["value"]) >= ASSIGN_LEAST)
     base = F.array_sort(F.concat(assign, matches(text, ACCESS, 1), matches(text, HEX, 2)))
     found = held.select("row", base.alias("base"), matches(text, TOKEN, 3).alias("tokens"))
-    free = F.filter(
-        F.col("tokens"),
-        lambda t: ~F.exists(
-            F.col("base"), lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])
-        ),
+    free = F.when((F.size("base") == 0) | (F.size("tokens") == 0), F.col("tokens")).otherwise(
+        let(F.col("base"), lambda b: _apart(F.col("tokens"), b))
     )
     tested = F.transform(
         free,
@@ -218,26 +266,14 @@ def cutoffs(scanned: DataFrame, fdr: float = FDR) -> list[float]:
 
 
 def _by_band(counts: list[list[int]], fdr: float) -> list[float]:
-    """The cutoff of each band; neighbours are pooled until they have ``FEW`` tokens, what
-    is left over at the end belongs to the pool before it."""
-    pools: list[list[int]] = []
-    held: list[int] = []
-    for b in range(len(counts)):
-        held.append(b)
-        if sum(sum(counts[i]) for i in held) >= FEW:
-            pools.append(held)
-            held = []
-    if not pools:
-        return [FLOOR] * len(counts)
-    pools[-1] += held
-    found = []
-    for pool in pools:
-        cutoff = _cutoff([sum(cells) for cells in zip(*[counts[i] for i in pool])], fdr)
-        found += [cutoff] * len(pool)
-    return found
+    """The cutoff of each band, whose counts are drawn towards those of all bands, and
+    these towards uniform noise."""
+    pool = [sum(cells) for cells in zip(*counts)]
+    shape = [(n + WEIGHT / BINS) / (sum(pool) + WEIGHT) for n in pool]
+    return [_cutoff([n + WEIGHT * s for n, s in zip(own, shape)], fdr) for own in counts]
 
 
-def _cutoff(histogram: list[int], fdr: float) -> float:
+def _cutoff(histogram: list[float], fdr: float) -> float:
     above = list(accumulate(reversed(histogram)))[::-1]
     half = BINS // 2
     noise = 2 * above[half]
@@ -253,8 +289,8 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     end, value)`` by start, ``rank`` being the place of the kind in ``KINDS``.
 
     ``spans`` has the base spans and those the battery adds, which overlap none of
-    them. A null or empty text has no spans; repeated rows are scanned one by one; an
-    empty table gives no rows. Other columns of ``docs`` are kept, except ones named
+    them. A null or empty text has no spans, a long one takes time nearly in proportion to
+    its spans; repeated rows are scanned one by one; an empty table gives no rows. Other columns of ``docs`` are kept, except ones named
     ``base`` or ``spans``, whose places the result takes.
     """
     scanned = materialize(scan(docs), "secrets")
@@ -288,15 +324,31 @@ def listed(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """``text`` with every span replaced by ``mark``; spans that overlap become one."""
+    """``text`` with every span replaced by ``mark``; spans that overlap become one.
 
-    def step(a: Column, s: Column) -> Column:
-        gap = F.substring(text, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)))
-        new = F.when(s["start"] >= a["at"], F.concat(gap, F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"), F.concat(a["out"], new).alias("out")
-        )
+    A text with spans is cut where each character has four bytes, since a place in it would
+    be counted from the beginning for every span otherwise; such a text may have 2^29
+    characters.
+    """
+
+    def between(wide: Column, begin: Column, end: Column) -> Column:
+        # a blank goes first, for a mark of byte order at the front would be lost
+        held = F.concat(F.encode(F.lit(" "), "UTF-32"), F.substring(wide, begin * 4 + 1, (end - begin) * 4))
+        return F.substring(F.decode(held, "UTF-32"), F.lit(2), end - begin)
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, begin, step, rest))
+    def pieces(wide: Column, ordered: Column, reach: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(reach, i - 1), F.lit(0))
+            return F.when(s["start"] >= at, F.concat(between(wide, at, s["start"]), F.lit(mark))).otherwise("")
+
+        last = F.get(reach, F.size(reach) - 1)
+        rest = between(wide, last, (F.length(wide) / 4).cast("int"))
+        return F.concat(F.array_join(F.transform(ordered, piece), ""), rest)
+
+    cut = let(
+        F.encode(text, "UTF-32"),
+        lambda wide: let(
+            spans, lambda s: let(_maxima(s["end"]), lambda reach: pieces(wide, s, reach))
+        ),
+    )
+    return F.when(F.size(spans) == 0, text).otherwise(cut)

@@ -2,9 +2,9 @@
 
 Each file covers a range of documents in ascending identifier order. Its batches have
 two fixed-size-list columns, ``ids`` and ``mask``; ids are as wide as the vocabulary
-needs. Sequences run on across documents, only the last of a file is padded, with mask
-false. Lists of one size put sequence i at a fixed place, so that a memory-mapped file
-hands it out without copying. A second, small file holds the documents' places.
+needs, a mask value is one byte, 1 for an id and 0 for padding. Sequences run on across
+documents, only the last of a file is padded. Lists of one size put sequence i at a fixed
+place, so that a memory-mapped file hands out both without copying. A second, small file holds the documents' places.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ class SequenceWriter:
         self.schema = pa.schema(
             {
                 "ids": pa.list_(pa.from_numpy_dtype(np.dtype(width)), length),
-                "mask": pa.list_(pa.bool_(), length),
+                "mask": pa.list_(pa.uint8(), length),
             }
         )
         self.writer = pa.ipc.new_file(stream, self.schema)
@@ -75,7 +75,7 @@ class SequenceWriter:
 
     def _batch(self, flat: np.ndarray, n_real: int) -> None:
         pa = self.pa
-        mask = np.arange(len(flat)) < n_real
+        mask = (np.arange(len(flat)) < n_real).astype("uint8")
         lists = [
             pa.FixedSizeListArray.from_arrays(pa.array(values), self.length)
             for values in (flat, mask)
@@ -107,12 +107,12 @@ class SequenceReader:
         if self.held is None or self.held[0] != i:
             batch = self.file.get_batch(i)
             ids = batch.column("ids").flatten().to_numpy(zero_copy_only=True)
-            mask = batch.column("mask").flatten().to_numpy(zero_copy_only=False)
+            mask = batch.column("mask").flatten().to_numpy(zero_copy_only=True).view("bool")
             self.held = (i, ids, mask)
         return self.held[1], self.held[2]
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids, a view of the file, and mask of sequence ``i``."""
+        """Ids and mask of sequence ``i``, views of the file."""
         ids, mask = self._batch(i // SEQUENCES_PER_BATCH)
         begin = i % SEQUENCES_PER_BATCH * self.length
         return ids[begin : begin + self.length], mask[begin : begin + self.length]

@@ -5,7 +5,8 @@ has a path on which the rules are tightened one cutoff of a fixed grid at a time
 before strict. One clean document in ``CHOOSING`` and all bad ones settle the path; the
 other clean ones prove how far it may be walked. A place on it is proven if the exact
 binomial tail shows that the rules together, as they stand there, reject more than
-``risk`` of the clean documents with a probability of at most the level. What is rejected
+``risk`` of the clean texts with a probability of at most the level. Copies are no
+independent trials, so equal texts of a stratum count once, and so do those of the pool. What is rejected
 only grows along the path, so it is one fixed sequence of tests that stops at the first
 failure, and needs no correction within. The level is ``error`` by the number of strata
 with enough labels to be tested at all and the pool.
@@ -49,9 +50,11 @@ STEPS = [(rule, float(cutoff)) for rule, grid in GRIDS.items() for cutoff in sor
 
 def measure(docs: DataFrame) -> DataFrame:
     """``(doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_lines,
-    n_repeat_words, base_failed)``. A null text has no words, a null language is a
-    stratum of its own."""
-    stratum = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    n_repeat_words, base_failed, text_key)``. A null text has no words, a null language
+    is a stratum of its own. ``text_key`` tells equal texts."""
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    # no language can take the name of the pool
+    stratum = F.when(F.startswith(lang, F.lit("(")), F.concat(F.lit("("), lang)).otherwise(lang)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), stratum.alias("stratum"), text.alias("text")
@@ -78,12 +81,13 @@ def measure(docs: DataFrame) -> DataFrame:
         lined.alias("lined"),
         F.length(F.translate(text, WHITE_CHARS, "")).cast("bigint").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+        F.sha2(text, 256).alias("text_key"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     return found.select(
-        "doc_id", "stratum", "counted.*", "lined.*", "word_chars", "n_symbols"
+        "doc_id", "stratum", "counted.*", "lined.*", "word_chars", "n_symbols", "text_key"
     ).withColumn("base_failed", failed)
 
 
@@ -160,8 +164,8 @@ def binomial_tail(n: Column, k: Column, risk: float) -> Column:
 
 
 def _cells(measured: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(stratum, part, over, n)``: labelled documents past the base rules, by the steps
-    they exceed, of every stratum and of the pool."""
+    """``(stratum, part, over, n)``: distinct labelled texts past the base rules, by the
+    steps they exceed, of every stratum and of the pool."""
     judged = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").alias("quality"))
         .filter(F.col("quality").isin(0, 1))
@@ -171,14 +175,23 @@ def _cells(measured: DataFrame, labels: DataFrame) -> DataFrame:
         .select("doc_id", "quality")
     )
     held_out = measured.filter(~F.col("base_failed")).join(judged, "doc_id")
-    choosing = F.pmod(F.xxhash64("doc_id"), F.lit(CHOOSING)) == 0
-    part = F.when(F.col("quality") == 0, "bad").when(choosing, "choose").otherwise("prove")
     value = shares()
     over = [F.when(value[rule] > F.lit(cutoff), F.lit(i)) for i, (rule, cutoff) in enumerate(STEPS)]
-    stepped = held_out.select("stratum", part.alias("part"), F.array_compact(F.array(*over)).alias("over"))
-    own = materialize(stepped.groupBy("stratum", "part", "over").agg(F.count("*").alias("n")), "cells")
-    pool = own.groupBy("part", "over").agg(F.sum("n").alias("n"))
-    return own.unionByName(pool.select(F.lit(POOLED).alias("stratum"), "part", "over", "n"))
+    least, most = F.min("quality").alias("quality"), F.max("most").alias("most")
+    stepped = held_out.select(
+        "stratum",
+        "text_key",
+        "quality",
+        F.col("quality").alias("most"),
+        F.array_compact(F.array(*over)).alias("over"),
+    )
+    own = materialize(stepped.groupBy("stratum", "text_key", "over").agg(least, most), "labelled-texts")
+    pool = own.groupBy("text_key", "over").agg(least, most)
+    texts = own.unionByName(pool.withColumn("stratum", F.lit(POOLED)))
+    choosing = F.pmod(F.xxhash64("text_key"), F.lit(CHOOSING)) == 0
+    part = F.when(F.col("quality") == 0, "bad").when(choosing, "choose").otherwise("prove")
+    agreed = texts.filter(F.col("quality") == F.col("most"))
+    return agreed.groupBy("stratum", part.alias("part"), "over").agg(F.count("*").alias("n"))
 
 
 def _paths(cells: DataFrame) -> DataFrame:
@@ -228,10 +241,11 @@ def cutoffs(
 ) -> DataFrame:
     """``(stratum, n_clean, symbol_share, ...)``: the cutoff of each rule, null where none
     is proven, for every stratum with enough clean documents for a proof and for the pool,
-    ``(pooled)``. ``n_clean`` are those the proof rests on.
+    ``(pooled)``. ``n_clean`` are the texts the proof rests on. A language that begins with
+    ``(`` has one more in the name of its stratum.
 
-    Labels without a document, documents with contradicting labels and labels
-    other than 0 and 1 prove nothing and are passed over.
+    Labels without a document, documents and equal texts with contradicting labels and
+    labels other than 0 and 1 prove nothing and are passed over.
     """
     cells = materialize(_cells(measured, labels), "all-cells")
     paths = materialize(_paths(cells), "paths")
@@ -296,7 +310,8 @@ def quality_verdicts(
     of its stratum; ``rejected_by`` names the first such rule, '' for none, and adds
     ``(pooled)`` if the cutoff is that of the pool, in strata too small for a proof. Without
     labels only the base rules reject. A null or empty text has no words and fails.
-    Repeated rows are judged one by one, an empty table gives no rows.
+    Repeated rows are judged one by one, but count once in a proof, as do all equal texts.
+    An empty table gives no rows.
     """
     measured = materialize(measure(docs), "quality")
     found = materialize(cutoffs(measured, labels, risk, error), "cutoffs")

@@ -206,7 +206,7 @@ def test_binomial_tail(spark):
 def test_cutoffs_are_proven(spark):
     """Enough clean documents below a cutoff prove it, and it rejects the bad ones."""
     text = "one two three four five six seven eight nine ten eleven"
-    rows = [(i, text if i < 2500 else text + " #" * 20, "en") for i in range(2600)]
+    rows = [(i, f"{text} {i}" if i < 2500 else f"{text} {i}" + " #" * 20, "en") for i in range(2600)]
     docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
     labels = spark.createDataFrame([(i, int(i < 2500)) for i in range(2600)], "doc_id BIGINT, quality INT")
     kept = by_id(quality.quality_verdicts(docs, labels))
@@ -215,7 +215,7 @@ def test_cutoffs_are_proven(spark):
 
 MEASURES = (
     "doc_id BIGINT, stratum STRING, n_words BIGINT, word_chars BIGINT, n_symbols BIGINT, "
-    "n_dup_lines BIGINT, n_lines BIGINT, n_repeat_words BIGINT, base_failed BOOLEAN"
+    "n_dup_lines BIGINT, n_lines BIGINT, n_repeat_words BIGINT, base_failed BOOLEAN, text_key STRING"
 )
 
 
@@ -225,7 +225,7 @@ def _proven(spark, groups):
     for stratum, quality_, times, symbols, lines in groups:
         for _ in range(times):
             marks.append((len(rows), quality_))
-            rows.append((len(rows), stratum, 100, 500, symbols, lines, 100, 0, False))
+            rows.append((len(rows), stratum, 100, 500, symbols, lines, 100, 0, False, str(len(rows))))
     measured = spark.createDataFrame(rows, MEASURES)
     labels = spark.createDataFrame(marks, "doc_id BIGINT, quality INT")
     found = {r["stratum"]: r for r in quality.cutoffs(measured, labels).collect()}
@@ -237,7 +237,7 @@ def test_few_labels_prove_a_cutoff(spark):
     found = _proven(spark, [("en", 1, 500, 0, 0), ("en", 0, 20, 200, 0), ("fr", 1, 30, 0, 0)])
     assert found == {"en": (0.3, None), quality.POOLED: (0.3, None)}
     text = "one two three four five six seven eight nine ten eleven"
-    rows = [(i, text + " " + "#" * 40 * (i % 10 == 0), "en" if i < 600 else "fr") for i in range(610)]
+    rows = [(i, f"{text} {i} " + "#" * 40 * (i % 10 == 0), "en" if i < 600 else "fr") for i in range(610)]
     docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
     labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(600)], "doc_id BIGINT, quality INT")
     kept = by_id(quality.quality_verdicts(docs, labels))
@@ -246,6 +246,33 @@ def test_few_labels_prove_a_cutoff(spark):
     assert kept[600]["rejected_by"] == "symbol_share (pooled)"
 
 
+def test_equal_texts_are_one_trial(spark):
+    """Copies and repeated rows prove no more than one text; contradicting ones nothing."""
+    text = "one two three four five six seven eight nine ten eleven"
+    texts = [(text, "en")] * 600 + [(f"{text} {i} " + "#" * 40, "en") for i in range(20)]
+    texts += [(f"{text} {i}", "de") for i in range(100)] * 6 + [(f"{text} {i} " + "#" * 40, "de") for i in range(20)]
+    texts += [(f"{text} both ways", "de")] * 2
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    marks = [(i, int("#" not in t)) for i, t, _ in rows[:-1]] + [(len(rows) - 1, 0)]
+    labels = spark.createDataFrame(marks, "doc_id BIGINT, quality INT")
+    verdicts = by_id(quality.quality_verdicts(docs.union(docs), labels))
+    assert all(r["kept"] for r in verdicts.values())
+    cells = quality._cells(quality.measure(docs.union(docs)), labels).filter("part != 'bad'")
+    found = {r["stratum"]: r["n"] for r in cells.groupBy("stratum").agg({"n": "sum"}).toDF("stratum", "n").collect()}
+    assert found == {"en": 1, "de": 100, quality.POOLED: 101}
+
+
+def test_a_language_named_like_the_pool(spark):
+    text = "one two three four five six seven eight nine ten eleven"
+    rows = [(i, f"{text} {i}", quality.POOLED if i < 250 else "(") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    labels = spark.createDataFrame([(i, 1) for i in range(500)], "doc_id BIGINT, quality INT")
+    found = {r["stratum"]: r["n_clean"] for r in quality.cutoffs(quality.measure(docs), labels).collect()}
+    assert set(found) <= {"((pooled)", "((", quality.POOLED}
+    assert found[quality.POOLED] == found["((pooled)"] + found["(("]
+
+
 def test_any_number_of_strata(spark):
     names = [f"l{i}" for i in range(70)]
     groups = [(x, quality_, n, 200 * (1 - quality_), 0) for x in names for quality_, n in [(1, 540), (0, 5)]]
@@ -291,12 +318,38 @@ def test_secrets_few_and_copied(spark):
     assert found[59]["spans"] and not found[len(texts) - 1]["spans"]
 
 
-def test_secret_cutoffs_pool_bands():
-    noise, words = [2] * secret_scan.BINS, [99] + [0] * (secret_scan.BINS - 1)
-    nothing = [0] * secret_scan.BINS
-    assert secret_scan._by_band([nothing, words, nothing], 0.05) == [secret_scan.FLOOR] * 3
-    found = secret_scan._by_band([words, noise, nothing], 0.05)
-    assert found == [secret_scan._cutoff([a + b for a, b in zip(words, noise)], 0.05)] * 3
+def test_secret_cutoffs_lean_on_all_bands():
+    """Few tokens leave the cutoff to the other bands, and one token more changes little."""
+    bins = secret_scan.BINS
+    noise, words, nothing = [2] * bins, [99] + [0] * (bins - 1), [0] * bins
+    assert secret_scan._by_band([nothing, words, nothing], 0.05) == [1 / bins] * 3
+    assert secret_scan._by_band([nothing, noise], 0.05) == [1 / bins] * 2
+    ordinary = [3000 // (i + 1) if i < 30 else 0 for i in range(bins)]
+    alone = secret_scan._cutoff(ordinary, 0.05)
+    found = secret_scan._by_band([ordinary, nothing], 0.05)
+    assert 1 / bins < found[0] <= alone and found[1] == found[0]
+    for n in range(90, 110):
+        few = [n // 2, n - n // 2] + [0] * (bins - 2)
+        more = [n // 2, n - n // 2 + 1] + [0] * (bins - 2)
+        assert abs(secret_scan._by_band([few], 0.05)[0] - secret_scan._by_band([more], 0.05)[0]) <= 2 / bins
+
+
+def test_many_secrets_in_one_text(spark):
+    """Spans of one long text, and which tokens lie apart from them."""
+    rng = random.Random(8)
+    parts = []
+    for i in range(20_000):
+        parts += ["".join(rng.choice("0123456789abcdef") for _ in range(16 + i % 3)), "größer"]
+    parts += ["K7fQ2xVb9LmZ4tRw8YpN3sHd6GjC1uEa", "token: 0123456789abcdef0123", "token=a" + "Z9" * 9]
+    text = " ".join(parts)
+    rows = spark.createDataFrame([(1, text)], "doc_id BIGINT, text STRING")
+    (row,) = secret_scan.find_secrets(rows).collect()
+    spans = [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]{16,}", text)]
+    assign = [(m.start(), 0, m.end()) for m in re.finditer("token[:=] ?[A-Za-z0-9]{12,}", text)]
+    assert [(s["start"], s["rank"], s["end"]) for s in row["base"]] == sorted(spans + assign)
+    assert {text[s["start"] : s["end"]] for s in row["spans"] if s["rank"] == 3} == {parts[-3]}
+    marked = rows.select(secret_scan.redacted(rows["text"], secret_scan.matches(rows["text"], secret_scan.HEX, 2)))
+    assert marked.first()[0] == re.sub("[0-9a-f]{16,}", "[secret]", text)
 
 
 def test_tree_bpe(docs, library):
@@ -319,6 +372,11 @@ def test_token_files(docs, library):
     row = files.manifest.orderBy("part").first()
     ids, mask = token_files.SequenceReader(row["path"]).sequence(0)
     assert len(ids) == len(mask) == 64 and not ids.flags.owndata
+    assert mask.dtype == bool and mask.sum() == min(row["n_ids"], 64) and not mask.flags.owndata
+    last = files.manifest.orderBy("part").collect()[-1]
+    _, mask = token_files.SequenceReader(last["path"]).sequence(last["n_sequences"] - 1)
+    assert mask.sum() == last["n_ids"] - 64 * (last["n_sequences"] - 1)
+    assert not mask.flags.owndata and not mask.flags.writeable
 
 
 def test_exact_dedup(docs):

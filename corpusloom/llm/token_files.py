@@ -2,8 +2,8 @@
 
 Each file covers a range of documents in ascending identifier order. Its batches have
 two fixed-size-list columns, ``ids`` and ``mask``; ids are as wide as the vocabulary
-needs, a mask value is one byte, 1 for an id and 0 for padding. Sequences run on across
-documents, only the last of a file is padded. Lists of one size put sequence i at a fixed
+needs, a mask is the bits of whole bytes, lowest first, 1 for an id and 0 for padding.
+Sequences run on across documents, only the last of a file is padded. Lists of one size put sequence i at a fixed
 place, so that a memory-mapped file hands out both without copying. A second, small file holds the documents' places.
 """
 
@@ -54,7 +54,7 @@ class SequenceWriter:
         self.schema = pa.schema(
             {
                 "ids": pa.list_(pa.from_numpy_dtype(np.dtype(width)), length),
-                "mask": pa.list_(pa.uint8(), length),
+                "mask": pa.list_(pa.uint8(), -(-length // 8)),
             }
         )
         self.writer = pa.ipc.new_file(stream, self.schema)
@@ -75,10 +75,11 @@ class SequenceWriter:
 
     def _batch(self, flat: np.ndarray, n_real: int) -> None:
         pa = self.pa
-        mask = (np.arange(len(flat)) < n_real).astype("uint8")
+        real = (np.arange(len(flat)) < n_real).reshape(-1, self.length)
+        mask = np.packbits(real, axis=1, bitorder="little")
         lists = [
-            pa.FixedSizeListArray.from_arrays(pa.array(values), self.length)
-            for values in (flat, mask)
+            pa.FixedSizeListArray.from_arrays(pa.array(values), size)
+            for values, size in ((flat, self.length), (mask.ravel(), mask.shape[1]))
         ]
         self.writer.write_batch(pa.record_batch(lists, schema=self.schema))
         self.n_sequences += len(flat) // self.length
@@ -101,21 +102,24 @@ class SequenceReader:
         local = store.type_name == "local"
         self.file = pa.ipc.open_file(pa.memory_map(path) if local else store.open_input_file(path))
         self.length = self.file.schema.field("ids").type.list_size
+        self.mask_size = self.file.schema.field("mask").type.list_size
         self.held: tuple[int, np.ndarray, np.ndarray] | None = None
 
     def _batch(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         if self.held is None or self.held[0] != i:
             batch = self.file.get_batch(i)
             ids = batch.column("ids").flatten().to_numpy(zero_copy_only=True)
-            mask = batch.column("mask").flatten().to_numpy(zero_copy_only=True).view("bool")
+            mask = batch.column("mask").flatten().to_numpy(zero_copy_only=True)
             self.held = (i, ids, mask)
         return self.held[1], self.held[2]
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``, views of the file."""
+        """Ids and mask of sequence ``i``, views of the file; :func:`mask_values` spells the
+        bits of the mask out."""
         ids, mask = self._batch(i // SEQUENCES_PER_BATCH)
-        begin = i % SEQUENCES_PER_BATCH * self.length
-        return ids[begin : begin + self.length], mask[begin : begin + self.length]
+        row = i % SEQUENCES_PER_BATCH
+        own = mask[row * self.mask_size : (row + 1) * self.mask_size]
+        return ids[row * self.length : (row + 1) * self.length], own
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from place ``start`` of the file, wherever sequences end."""
@@ -129,6 +133,11 @@ class SequenceReader:
         return found[0] if len(found) == 1 else np.concatenate(found or [np.zeros(0, "u2")])
 
 
+def mask_values(mask: np.ndarray, length: int) -> np.ndarray:
+    """One boolean for each id of a sequence, from the bits of its mask."""
+    return np.unpackbits(mask, count=length, bitorder="little").view("bool")
+
+
 def _write_parts(folder: str, vocabulary: str, length: int, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow as pa

@@ -61,15 +61,17 @@ def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     grams = mixed((sums[GRAM:] - sums[:-GRAM]) * down[: len(raw) - GRAM + 1])
     span = WINDOW - GRAM + 1
     # least of span neighbours by doubling; the leftmost wins, as equal ones do not move it
-    best = np.arange(len(grams), dtype="i8")
+    best, least = np.arange(len(grams), dtype="i8"), grams
     width = 1
     while width < span:
         step = min(width, span - width)
-        a, b = best[:-step], best[step:]
-        best = np.where(grams[b] < grams[a], b, a)
+        a, b = least[:-step], least[step:]
+        best = np.where(b < a, best[step:], best[:-step])
+        least = np.minimum(a, b)
         width += step
-    place, first = np.unique(best, return_index=True)
-    last = np.append(first[1:], n) - 1
+    # anchors move to the right only
+    first = np.flatnonzero(np.append(True, best[1:] != best[:-1]))
+    place, last = best[first], np.append(first[1:], n) - 1
     return grams[place].view("i8"), first, last
 
 
@@ -235,22 +237,36 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, depth)[small])
     small = small[np.argsort(keys.view(f"S{depth}").ravel(), kind="stable")]
 
-    ends = np.cumsum(np.bincount(text, minlength=256))
-    found = np.full(n, -1, "i8")
-    # the sorted ones fill their buckets from behind
-    of_small = text[small]
-    counts = np.bincount(of_small, minlength=256)
-    rank = np.arange(len(small)) - (np.cumsum(counts) - counts)[of_small]
-    found[(ends - counts)[of_small] + rank] = small
-    heads = (ends - np.bincount(text, minlength=256)).tolist()
-    order, symbols, up = found.tolist(), text.tolist(), rises.tolist()
-    for i in range(n):
-        j = order[i] - 1
-        if j >= 0 and not up[j]:
-            symbol = symbols[j]
-            order[heads[symbol]] = j
-            heads[symbol] += 1
-    return np.array(order, "i8")
+    sizes, of_small = np.bincount(text, minlength=256), np.bincount(text[small], minlength=256)
+    ends = np.cumsum(sizes)
+    small_ends, heads = np.cumsum(of_small), ends - sizes
+    found = np.empty(n, "i8")
+
+    def induced(scanned: np.ndarray, symbol: int) -> np.ndarray:
+        """What stands before the scanned suffixes, if it falls, in their order."""
+        before = scanned[scanned > 0] - 1
+        return before[~rises[before] & (text[before] >= symbol)]
+
+    for symbol in np.flatnonzero(sizes).tolist():
+        begin, reach = ends[symbol] - sizes[symbol], heads[symbol]
+        found[ends[symbol] - of_small[symbol] : ends[symbol]] = small[
+            small_ends[symbol] - of_small[symbol] : small_ends[symbol]
+        ]
+        # a run of one symbol puts suffixes into the bucket that is being scanned
+        fresh = found[begin:reach]
+        while len(fresh):
+            fresh = induced(fresh, symbol)
+            fresh = fresh[text[fresh] == symbol]
+            found[reach : reach + len(fresh)] = fresh
+            reach += len(fresh)
+        others = induced(found[begin : ends[symbol]], symbol)
+        others = others[text[others] > symbol]
+        others = others[np.argsort(text[others], kind="stable")]
+        symbols = text[others]
+        counts = np.bincount(symbols, minlength=256)
+        found[(heads - np.cumsum(counts) + counts)[symbols] + np.arange(len(others))] = others
+        heads += counts
+    return found
 
 
 def first_documents(contexts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:

@@ -7,7 +7,8 @@ shingles that must share T with another sets its T - 1 last lists aside as long;
 other n - T + 1 are short, and whoever reaches T is on one of them. Short lists are
 merged, which counts how often two documents meet; what both could still share on the
 long lists bounds the rest, and pairs below the required overlap go. The others probe
-their sets by binary search, for the exact overlap.
+their sets by binary search, for the exact overlap. Lists with the same members, as of a
+passage that these share, are one list with a weight.
 
 Copies would make all pairs of a long list. Documents with equal sets are one to begin
 with. Then each list links its members to few pivots only, in rounds, and documents
@@ -30,7 +31,7 @@ from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import exact_ids, id_and_text, join_by_share, ship_package, whole_ids
@@ -199,6 +200,15 @@ def _shared_lists(short: DataFrame) -> DataFrame:
     return few.unionByName(many.join(held.select("hash"), "hash"))
 
 
+def _weighted(lists: DataFrame) -> DataFrame:
+    """Lists with the same members as one, its ``weight`` their number. Members are
+    compared by two independent hashes of the set."""
+    members = [F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("two")]
+    held = lists.groupBy("hash").agg(*members)
+    kept = held.groupBy("one", "two").agg(F.min("hash").alias("hash"), F.count("*").alias("weight"))
+    return lists.join(kept.select("hash", "weight"), "hash")
+
+
 def _pair_filter(percent: int):
     low, high = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     return 100 * low >= percent * high
@@ -283,28 +293,37 @@ def _pivot_pairs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
     ]
     held = rows.groupBy("hash").agg(*[f.alias(p) for f, p in zip(firsts, names, strict=True)])
     pivots = held.select("hash", F.inline(F.array_distinct(F.array(*each))))
-    members = rows.select("hash", F.col("id").alias("b"), F.col("n").alias("n_b"), "component")
+    members = rows.select(
+        "hash", "weight", F.col("id").alias("b"), F.col("n").alias("n_b"), "component"
+    )
     met = members.join(pivots, "hash").filter((F.col("of_a") != F.col("component")) & _pair_filter(percent))
-    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("times"))
-    best = counted.filter(_enough(percent)).groupBy("b").agg(F.max(F.struct("times", (-F.col("a")).alias("less"))).alias("top"))
+    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.sum("weight").alias("times"))
+    best = counted.filter(_enough(F.col("times"), percent)).groupBy("b").agg(F.max(F.struct("times", (-F.col("a")).alias("less"))).alias("top"))
     return best.select((-F.col("top.less")).alias("a"), "b")
 
 
 def _all_pairs(rows: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     """Pairs between components that meet often enough on short lists and whose bitmaps
-    do not rule them out."""
-    rows = rows.join(bitmaps, "id")
+    do not rule them out. A document on few open lists cannot meet another often enough
+    that is about as long, so such pairs are ruled out before they are counted."""
+    opened = rows.groupBy("id").agg(F.sum("weight").alias("open"))
+    rows = rows.join(bitmaps.join(opened, "id"), "id")
 
     def side(x: str) -> list:
-        names = {"id": x, "n": f"n_{x}", "component": f"of_{x}"} | {w: f"{w}_{x}" for w in BITMAP}
+        names = {"id": x, "n": f"n_{x}", "component": f"of_{x}", "open": f"open_{x}"}
+        names |= {w: f"{w}_{x}" for w in BITMAP}
         return [F.col(c).alias(name) for c, name in names.items()]
 
     in_largest = F.col("component") == F.col("largest")
-    outside = rows.filter(~in_largest).select("hash", *side("a"))
+    outside = rows.filter(~in_largest).select("hash", "weight", *side("a"))
     others = rows.select("hash", *side("b"), in_largest.alias("in_largest"))
     once = F.col("in_largest") | (F.col("a") < F.col("b"))
     met = outside.join(others, "hash").filter(
-        (F.col("of_a") != F.col("of_b")) & once & _pair_filter(percent) & _alike(percent)
+        (F.col("of_a") != F.col("of_b"))
+        & once
+        & _pair_filter(percent)
+        & _enough(F.least("open_a", "open_b"), percent)
+        & _alike(percent)
     )
     one, other = F.least("a", "b"), F.greatest("a", "b")
     sizes = (
@@ -312,11 +331,13 @@ def _all_pairs(rows: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
         F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")),
     )
     counted = (
-        met.select(one.alias("a"), other.alias("b"), sizes[0].alias("n_a"), sizes[1].alias("n_b"))
+        met.select(
+            one.alias("a"), other.alias("b"), sizes[0].alias("n_a"), sizes[1].alias("n_b"), "weight"
+        )
         .groupBy("a", "b", "n_a", "n_b")
-        .agg(F.count("*").alias("times"))
+        .agg(F.sum("weight").alias("times"))
     )
-    return counted.filter(_enough(percent)).select("a", "b")
+    return counted.filter(_enough(F.col("times"), percent)).select("a", "b")
 
 
 def _needed(percent: int):
@@ -330,11 +351,11 @@ def _alike(percent: int):
     return differ <= F.col("n_a") + F.col("n_b") - 2 * _needed(percent)
 
 
-def _enough(percent: int):
-    """Whether the least overlap of a pair can be reached: what it met on short lists
-    and the most it can still share on long ones."""
+def _enough(times: Column, percent: int) -> Column:
+    """Whether the least overlap of a pair can be reached: ``times`` on short lists and
+    the most it can still share on long ones."""
     long = F.greatest(*[F.ceil(percent * F.col(x) / 100) - 1 for x in ("n_a", "n_b")])
-    return F.col("times") >= _needed(percent) - long
+    return times >= _needed(percent) - long
 
 
 def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -375,7 +396,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = N) -> Data
     )
     whole = rows.filter("doc_id is not null")
     short = materialize(_short_lists(whole, _often(passed), n, percent), "short-lists")
-    lists = materialize(_shared_lists(_chosen(short, classes)), "lists")
+    lists = materialize(_shared_lists(_chosen(short, classes)), "shared-lists")
+    lists = materialize(_weighted(lists), "lists")
 
     words = [F.col("bits")[i].alias(w) for i, w in enumerate(BITMAP)]
     bitmaps = short.select(F.col("doc_id").alias("id"), *words).dropDuplicates(["id"])

@@ -1,7 +1,8 @@
 """The books most like one book, from an index that leaves most postings unread.
 
-The index holds unit TF-IDF weights twice: by term, heaviest first, in blocks of
-which the largest weight is known, and by book. A search reads the blocks of some of
+The index holds unit TF-IDF weights by term, heaviest first, in blocks of which the
+largest weight is known, and by book the counts and the length that give the same
+weights. Postings cross one shuffle and are written once. A search reads the blocks of some of
 the target's terms, and then whole vectors of the few books that can still be among
 the best.
 
@@ -28,6 +29,8 @@ from corpusloom.operators.similarity import TIE_DECIMALS, by_similarity, top_sim
 from corpusloom.workspace import materialize, new_path
 
 BLOCK = 128
+# Postings of a range, which one task sorts.
+PART_POSTINGS = 2_000_000
 # Sums of doubles differ in their last bits; ranks are by scores cut to TIE_DECIMALS.
 MARGIN = 10.0 ** (1 - TIE_DECIMALS)
 # Where the search begins. Scores below it cost a second look, not a result.
@@ -41,9 +44,9 @@ class PostingIndex:
 
     entries: DataFrame  # part, term, block, file_name, weight
     blocks: DataFrame  # part, term, block, n, max_weight
-    vectors: DataFrame  # shelf, file_name, terms: array of (term, weight)
+    vectors: DataFrame  # shelf, file_name, terms: array of (term, tf), length
+    idf: DataFrame  # term, df, idf
     names: DataFrame  # file_name, those without any weight too
-    shelves: int
 
 
 @dataclass(frozen=True)
@@ -57,47 +60,50 @@ def posting_index(vectors: DataFrame, parts: int | None = None, block: int = BLO
     """Index a written :func:`tfidf.term_vectors` table.
 
     Postings are dealt over ``parts`` ranges of (term, weight), so a term in all books
-    falls into many; a range is a folder, and a search opens only those it needs.
+    falls into many; a range is a folder, and a search opens only those it needs. Books
+    lie in the folder of the task that wrote them.
     """
     spark = vectors.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = materialize(tfidf.document_frequency(vectors), "document-frequency")
     idf = materialize(tfidf.inverse_document_frequency(df, vectors.count()), "idf")
-    weights = materialize(tfidf.tfidf_weights(vectors, idf), "weights")
-    unit = materialize(tfidf.unit_weights(weights), "unit-weights")
+    if not parts:
+        postings = df.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-postings // PART_POSTINGS))
+
+    # a book is one row, so its sum is whole before the shuffle
+    square = F.col("weight") * F.col("weight")
+    lengths = materialize(
+        tfidf.tfidf_weights(vectors, idf)
+        .groupBy("file_name")
+        .agg(F.sqrt(F.sum(square)).alias("length"), F.lit(1).alias("books")),
+        "lengths",
+    )
+    measured = lookup_join(vectors, lengths, ["file_name"], "books")
+    shelved = measured.select("file_name", "terms", "length", _task(parts).alias("shelf"))
+    shelves = _by_folder(shelved, "shelf", "vectors")
 
     order = [F.asc("term"), F.desc("weight"), F.asc("file_name")]
     number = F.monotonically_increasing_id() % _LOCAL
+    pairs = shelves.select("file_name", "length", F.inline("terms"))
+    weighted = lookup_join(pairs, idf.filter(F.col("idf") > 0), ["term"], "df")
+    unit = weighted.select("term", _weight().alias("weight"), "file_name")
     placed = (
         unit.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .select(
-            "term",
-            F.floor(number / block).alias("block"),
-            "file_name",
-            "weight",
-            F.spark_partition_id().alias("part"),
-        )
+        .withColumn("part", F.spark_partition_id())
+        .sortWithinPartitions("part", *order)
+        .select("term", F.floor(number / block).alias("block"), "file_name", "weight", "part")
     )
     entries = _by_folder(placed, "part", "postings")
     blocks = entries.groupBy("part", "term", "block").agg(
         F.count("*").alias("n"), F.max("weight").alias("max_weight")
     )
-    by_book = unit.groupBy("file_name").agg(F.collect_list(F.struct("term", "weight")).alias("terms"))
-    shelved = by_book.withColumn("shelf", _shelf(F.col("file_name"), parts))
-    return PostingIndex(
-        entries,
-        materialize(blocks, "posting-blocks"),
-        _by_folder(shelved.repartition(parts, "shelf"), "shelf", "unit-vectors"),
-        materialize(vectors.select("file_name"), "names"),
-        parts,
-    )
+    names = materialize(vectors.select("file_name"), "names")
+    return PostingIndex(entries, materialize(blocks, "posting-blocks"), shelves, idf, names)
 
 
 def search(index: PostingIndex, target: str, n: int = 5) -> Found:
     """The ``n`` books most like ``target``, as :func:`exact_similarity` ranks them."""
-    own = _vectors_of(index, index.names.filter(F.col("file_name") == target).distinct())
-    query = own.select("term", F.col("weight").alias("target_weight"))
+    query = materialize(_target_vector(index, target), "target-vector")
     blocks = materialize(index.blocks.join(F.broadcast(query), "term"), "target-blocks")
     total = index.blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     terms = materialize(_terms_in_order(blocks), "target-terms")
@@ -119,7 +125,6 @@ def search(index: PostingIndex, target: str, n: int = 5) -> Found:
     bound = F.col("partial") + F.lit(rest) * free + F.lit(skipped)
     left = materialize(seen.filter(bound >= lower - MARGIN).select("file_name"), "books-left")
     scored, more = _score(index, left, query)
-    scored = materialize(scored, "scores")
     top = scored
     if lower == 0.0:  # books that share nothing may be among the first
         others = index.names.filter(F.col("file_name") != target)
@@ -179,24 +184,39 @@ def _read(
     return materialize(seen, "seen-books"), read, slack
 
 
+def _target_vector(index: PostingIndex, target: str) -> DataFrame:
+    """``(term, idf, target_weight)`` of one book."""
+    own = index.vectors.filter(F.col("file_name") == target)
+    pairs = own.select("length", F.inline("terms"))
+    met = index.idf.filter(F.col("idf") > 0).join(F.broadcast(pairs), "term")
+    return met.select("term", "idf", _weight().alias("target_weight"))
+
+
 def _score(index: PostingIndex, names: DataFrame, query: DataFrame) -> tuple[DataFrame, int]:
     """``(file_name, similarity)`` from whole vectors, and how many entries these hold."""
-    entries = materialize(_vectors_of(index, names), "whole-vectors")
-    met = entries.join(F.broadcast(query), "term")
-    product = F.sum(F.col("weight") * F.col("target_weight"))
-    return met.groupBy("file_name").agg(product.alias("similarity")), entries.count()
+    wanted = names.select("file_name")
+    held = index.vectors.select("file_name", "shelf").join(wanted, "file_name", "left_semi")
+    shelves = [row["shelf"] for row in held.select("shelf").distinct().collect()]
+    opened = index.vectors.filter(F.col("shelf").isin(shelves))
+    met = opened.select("file_name", "length", F.inline("terms")).join(
+        F.broadcast(query), "term", "left"
+    )
+    scores = met.groupBy("file_name").agg(
+        F.sum(_weight() * F.col("target_weight")).alias("similarity"), F.count("*").alias("entries")
+    )
+    # a book is one row, so it is summed where it lies and only then compared by name
+    scores = materialize(scores.join(wanted, "file_name", "left_semi"), "scores")
+    entries = scores.agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0]
+    return scores.filter("similarity is not null").select("file_name", "similarity"), entries
 
 
-def _vectors_of(index: PostingIndex, names: DataFrame) -> DataFrame:
-    """``(file_name, term, weight)``; only the shelves of ``names`` are opened."""
-    shelves = names.select(_shelf(F.col("file_name"), index.shelves).alias("shelf")).distinct()
-    numbers = [row["shelf"] for row in shelves.collect()]
-    opened = index.vectors.filter(F.col("shelf").isin(numbers))
-    return opened.join(names, "file_name", "left_semi").select("file_name", F.inline("terms"))
+def _weight() -> Column:
+    """The unit weight of a term in its book."""
+    return F.col("tf") * F.col("idf") / F.col("length")
 
 
-def _shelf(name: Column, shelves: int) -> Column:
-    return F.pmod(F.xxhash64(name), F.lit(shelves)).cast("int")
+def _task(parts: int) -> Column:
+    return F.pmod(F.spark_partition_id(), F.lit(parts))
 
 
 def _by_folder(df: DataFrame, folder: str, label: str) -> DataFrame:

@@ -59,3 +59,28 @@ def test_a_target_without_terms_and_few_books(spark):
 def test_no_books(spark):
     books = spark.createDataFrame([], "file_name STRING, text STRING")
     assert plan.top_by_index(books).top.collect() == []
+
+
+def test_pairs_are_written_once(spark):
+    from pathlib import Path
+
+    from corpusloom.workspace import shared_folder
+
+    vectors = vectors_of(spark, corpus(1))
+    pairs = tfidf.term_frequency(vectors).count()
+    before = set(Path(shared_folder(spark)).glob("corpusloom-*"))
+    index = posting_index(vectors, parts=3, block=8)
+    found = search(index, "1.txt", 60)
+    written = set(Path(shared_folder(spark)).glob("corpusloom-*")) - before
+    assert found.total <= pairs
+    long = [p.name for p in written if 2 * spark.read.parquet(str(p)).count() >= pairs]
+    assert [name.split("-")[1] for name in long] == ["postings"]
+
+
+def test_ranges_are_bounded(spark, monkeypatch):
+    from corpusloom.operators import postings
+
+    monkeypatch.setattr(postings, "PART_POSTINGS", 40)
+    index = posting_index(vectors_of(spark, corpus(1)), block=8)
+    sizes = [row["count"] for row in index.entries.groupBy("part").count().collect()]
+    assert len(sizes) > 8 and max(sizes) <= 4 * 40

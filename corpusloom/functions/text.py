@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from string import ascii_letters, digits
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,8 +17,10 @@ END_MARKERS = ("*** END OF", "***END OF", "End of Project Gutenberg")
 WORD_SEPARATORS = r"[ \t\n\r\f]+"
 
 
-# Fixed value: what a word count deletes.
-PUNCTUATION = r"[^a-zA-Z0-9\s]"
+# Fixed value: what a word count deletes, `[^a-zA-Z0-9\s]`. The characters are listed one by
+# one, since Java keeps them as bits then; with several tasks in one process a union of
+# ranges and `\s` is slower by far.
+PUNCTUATION = rf"[^{ascii_letters}{digits} \t\n\x0B\f\r]+"
 
 
 def words(line: Column) -> Column:

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from checks.books_view import books
 from corpusloom.operators import chunked
 from corpusloom.sources import chunks
+from corpusloom.sources.files import session_with
 from corpusloom.workspace import materialize, new_path
 
 # Small, so that most books are several chunks.
 CHUNK_BYTES = 1000
+# Books that a task which writes files holds at once.
+BATCH_ROWS = 500
 
 
 def write_books(spark: SparkSession, folder: str) -> str:
@@ -31,7 +34,8 @@ def write_books(spark: SparkSession, folder: str) -> str:
         store.create_dir(root, recursive=True)
         for batch in batches:
             names = []
-            for name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for value in zip(*batch.columns, strict=True):
+                name, text = (v.as_py() for v in value)
                 number, data = int(name.removesuffix(".txt")), text.encode()
                 if number % 19 == 3:
                     data = b""
@@ -49,7 +53,9 @@ def write_books(spark: SparkSession, folder: str) -> str:
                 names.append(name)
             yield pa.RecordBatch.from_pydict({"file_name": pa.array(names, pa.string())})
 
-    books(spark, folder).mapInArrow(write, "file_name STRING").count()
+    # what a task holds at once, in a session of its own
+    session = session_with(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)})
+    books(session, folder).mapInArrow(write, "file_name STRING").count()
     return target
 
 
@@ -58,8 +64,9 @@ def outcomes(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("file_name", "text", F.col("error").isNotNull().alias("failed"))
 
 
-def _positions(spark: SparkSession, target: str) -> DataFrame:
-    read = chunks.file_chunks(spark, target, chunk_bytes=CHUNK_BYTES)
+def _positions(spark: SparkSession, target: str, listing: DataFrame | None = None) -> DataFrame:
+    listing = listing or chunks.written_listing(spark, target)
+    read = chunks.read_ranges(chunks.ranges(listing, CHUNK_BYTES), target)
     return materialize(chunked.book_positions(read), "book-positions")
 
 
@@ -73,8 +80,9 @@ def failures(spark: SparkSession, folder: str) -> DataFrame:
 
 def terms(spark: SparkSession, folder: str) -> DataFrame:
     target = write_books(spark, folder)
-    listing = chunks.file_listing(spark, target)
-    return chunked.book_terms(listing, _positions(spark, target), target, CHUNK_BYTES)
+    listing = chunks.written_listing(spark, target)
+    positions = _positions(spark, target, listing)
+    return chunked.book_terms(listing, positions, target, CHUNK_BYTES)
 
 
 def words(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.sources.files import unix_newlines, valid_text
+from corpusloom.workspace import materialize
 
 RANGES = "file_name STRING, path STRING, bytes BIGINT, is_file BOOLEAN"
 CHUNKS = "file_name STRING, start BIGINT, content BINARY, after BINARY, error STRING"
@@ -25,6 +26,9 @@ CHUNK_BYTES = 16 << 20
 # Bytes of all ranges that a task reads about, and of content handed over at once.
 TASK_BYTES = 128 << 20
 BATCH_BYTES = 8 << 20
+# Ranges of fewer bytes on average are dealt by pieces of a file of this size.
+PIECE_BYTES = 1 << 20
+LISTED_ROWS = 10_000
 
 # Bytes behind a chunk in which a marker may end, and the labels whose values are
 # followed further, to the end of their line.
@@ -36,31 +40,50 @@ def file_listing(spark: SparkSession, folder: str, suffix: str = ".txt") -> Data
     """``(file_name, path, bytes, is_file)`` of everything directly in ``folder`` whose
     name ends in ``suffix``. One task lists, and the names go from there to the others.
     A link that leads nowhere is not listed. The folder must be in a store that pyarrow
-    opens; for others there is :func:`corpusloom.sources.files.books`.
+    opens; for others there is :func:`corpusloom.sources.files.books`. A local folder is
+    listed in pieces, of others pyarrow holds all names at once.
     """
     place = folder if ":" in folder else os.path.abspath(folder)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from itertools import batched
+
         from pyarrow import fs
 
+        def local() -> Iterator[tuple[str, str, int, bool]]:
+            with os.scandir(root) as entries:
+                for entry in entries:
+                    if entry.name.endswith(suffix):
+                        try:
+                            size = entry.stat().st_size
+                        except FileNotFoundError:
+                            continue
+                        is_file = entry.is_file()
+                        yield entry.name, os.path.join(root, entry.name), size if is_file else 0, is_file
+
+        def other() -> Iterator[tuple[str, str, int, bool]]:
+            for x in store.get_file_info(fs.FileSelector(root)):
+                if x.base_name.endswith(suffix):
+                    yield x.base_name, x.path, x.size or 0, x.type == fs.FileType.File
+
         for _ in batches:
             pass
         store, root = fs.FileSystem.from_uri(place)
-        found = [x for x in store.get_file_info(fs.FileSelector(root)) if x.base_name.endswith(suffix)]
-        for i in range(0, len(found), 10_000):
-            some = found[i : i + 10_000]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "file_name": [x.base_name for x in some],
-                    "path": [x.path for x in some],
-                    "bytes": pa.array([x.size or 0 for x in some], pa.int64()),
-                    "is_file": [x.type == fs.FileType.File for x in some],
-                }
-            )
+        found = local() if isinstance(store, fs.LocalFileSystem) else other()
+        kinds = {"file_name": pa.string(), "path": pa.string(), "bytes": pa.int64(), "is_file": pa.bool_()}
+        for some in batched(found, LISTED_ROWS):
+            columns = [pa.array(c, k) for c, k in zip(zip(*some, strict=True), kinds.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, list(kinds))
 
     return spark.range(0, 1, 1, 1).mapInArrow(listed, RANGES)
 
 
+def written_listing(spark: SparkSession, folder: str, suffix: str = ".txt") -> DataFrame:
+    """:func:`file_listing`, listed once for all later steps and dealt over the cores."""
+    listing = file_listing(spark, folder, suffix)
+    return materialize(listing.repartition(spark.sparkContext.defaultParallelism, "path"), "listing")
+
+
 def ranges(listing: DataFrame, chunk_bytes: int | None = CHUNK_BYTES) -> DataFrame:
     """The files cut into ranges of ``chunk_bytes``, or whole ones without it, with the
     nominal begin in ``start`` and the size in ``step``; at least one for each file."""
@@ -94,6 +117,20 @@ def read_ranges(dealt: DataFrame, folder: str, stop: bool = False) -> DataFrame:
         cut_at = re.compile(rb"[ \t\n\r\f](?=[^ \t\n\r\f\v])")
         value_end = re.compile(r":\s*\S[^\r\n]*[\r\n]")
 
+        # the file read last, and where its last chunk ended: neighbours follow each other
+        current, cuts = {}, {}
+
+        def opened(path: str):
+            if path not in current:
+                shut()
+                current[path] = store.open_input_file(path)
+            return current[path]
+
+        def shut() -> None:
+            cuts.clear()
+            while current:
+                current.popitem()[1].close()
+
         def first_cut(file, at: int, size: int) -> int:
             if at <= 0 or at >= size:
                 return min(max(at, 0), size)
@@ -111,19 +148,24 @@ def read_ranges(dealt: DataFrame, folder: str, stop: bool = False) -> DataFrame:
             size = row["bytes"]
             if not row["is_file"]:
                 raise OSError("not a file")
-            with store.open_input_file(row["path"]) as file:
-                begin = first_cut(file, row["start"], size)
-                end = first_cut(file, row["start"] + row["step"], size)
-                if begin >= end and row["start"]:
-                    return None
-                content = file.read_at(end - begin, begin)
-                after = file.read_at(after_bytes, end) if end < size else b""
-                text = (content + after).decode("utf-8", "ignore") if end < size else ""
-                last = max(text.rfind(label) for label in labels)
-                while last >= 0 and end + len(after) < size and not value_end.search(text, last):
-                    after += file.read_at(4096, end + len(after))
-                    text = (content + after).decode("utf-8", "ignore")
-                return content, after
+            file = opened(row["path"])
+            beyond = row["start"] + row["step"]
+            if row["start"] not in cuts:
+                cuts[row["start"]] = first_cut(file, row["start"], size)
+            begin = cuts[row["start"]]
+            end = first_cut(file, beyond, size)
+            cuts.clear()
+            cuts[beyond] = end
+            if begin >= end and row["start"]:
+                return None
+            content = file.read_at(end - begin, begin)
+            after = file.read_at(after_bytes, end) if end < size else b""
+            text = (content + after).decode("utf-8", "ignore") if end < size else ""
+            last = max(text.rfind(label) for label in labels)
+            while last >= 0 and end + len(after) < size and not value_end.search(text, last):
+                after += file.read_at(4096, end + len(after))
+                text = (content + after).decode("utf-8", "ignore")
+            return content, after
 
         def batch_of(rows: list[dict]) -> pa.RecordBatch:
             names = ["file_name", "start", "content", "after", "error", *extra]
@@ -142,6 +184,7 @@ def read_ranges(dealt: DataFrame, folder: str, stop: bool = False) -> DataFrame:
                         continue
                     content, after = found
                 except OSError as problem:
+                    shut()
                     if stop:
                         raise
                     error = str(problem) or type(problem).__name__
@@ -150,6 +193,7 @@ def read_ranges(dealt: DataFrame, folder: str, stop: bool = False) -> DataFrame:
                 if size >= held_bytes or len(rows) >= 1000:
                     yield batch_of(rows)
                     rows, size = [], 0
+        shut()
         if rows:
             yield batch_of(rows)
 
@@ -157,11 +201,16 @@ def read_ranges(dealt: DataFrame, folder: str, stop: bool = False) -> DataFrame:
 
 
 def _dealt(cut: DataFrame) -> DataFrame:
-    """The ranges over tasks of about ``TASK_BYTES``, and over all cores at least."""
+    """The ranges over tasks of about ``TASK_BYTES``, and over all cores at least. Small
+    ones of the same piece of a file are neighbours in one task."""
     spark = cut.sparkSession
-    total = cut.agg(F.sum(F.least("step", "bytes"))).first()[0] or 0
-    tasks = max(-(-total // TASK_BYTES), spark.sparkContext.defaultParallelism)
-    return cut.repartition(int(tasks))
+    size = F.sum(F.least("step", "bytes"))
+    total, count = cut.agg(F.coalesce(size, F.lit(0)), F.count("*")).first()
+    tasks = int(max(-(-total // TASK_BYTES), spark.sparkContext.defaultParallelism))
+    if total >= count * PIECE_BYTES:
+        return cut.repartition(tasks)
+    piece = F.floor(F.col("start") / PIECE_BYTES)
+    return cut.repartition(tasks, "path", piece).sortWithinPartitions("path", "start")
 
 
 def file_chunks(
@@ -171,7 +220,7 @@ def file_chunks(
     chunk_bytes: int | None = CHUNK_BYTES,
     stop: bool = False,
 ) -> DataFrame:
-    return read_ranges(ranges(file_listing(spark, folder, suffix), chunk_bytes), folder, stop)
+    return read_ranges(ranges(written_listing(spark, folder, suffix), chunk_bytes), folder, stop)
 
 
 def decoded(content: Column) -> Column:

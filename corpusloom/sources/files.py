@@ -19,7 +19,7 @@ def lines(spark: SparkSession, path: str | list[str], split_bytes: int | None =
     the frame comes from a session of its own with the caller's settings.
     """
     if split_bytes is not None:
-        spark = _session_with(
+        spark = session_with(
             spark,
             {
                 "spark.sql.files.maxPartitionBytes": str(split_bytes),
@@ -30,7 +30,7 @@ def lines(spark: SparkSession, path: str | list[str], split_bytes: int | None =
     return spark.read.schema("value STRING").text(path)
 
 
-def _session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     session = spark.newSession()
     for key, value in {**spark.conf.getAll, **settings}.items():
         if session.conf.isModifiable(key):

@@ -114,3 +114,38 @@ def test_view_is_cut(spark):
     target = book_files.write_books(spark, "/root/testdata/sf0.001")
     found = chunks.file_chunks(spark, target, chunk_bytes=book_files.CHUNK_BYTES)
     assert found.groupBy("file_name").count().filter("count > 3").count() > 20
+
+
+def test_a_folder_is_listed_once(spark, folder):
+    read = chunks.file_chunks(spark, str(folder), chunk_bytes=64)
+    (folder / "later.txt").write_bytes(b"x")
+    assert "later.txt" not in {r["file_name"] for r in read.collect()}
+
+
+def test_listing_in_pieces(spark, folder, monkeypatch):
+    from pyarrow import fs
+
+    monkeypatch.setattr(chunks, "LISTED_ROWS", 2)
+    (folder / "nowhere.txt").symlink_to(folder / "missing")
+    (folder / "link.txt").symlink_to(folder / "0.txt")
+    (folder / "inner.txt").symlink_to(folder / "folder.txt")
+    store, root = fs.FileSystem.from_uri(f"file://{folder}")
+    every = [x for x in store.get_file_info(fs.FileSelector(root)) if x.base_name.endswith(".txt")]
+    wanted = {(x.base_name, x.path, x.size or 0, x.type == fs.FileType.File) for x in every}
+    rows = [tuple(r) for r in chunks.file_listing(spark, str(folder)).collect()]
+    assert len(rows) == len(wanted) and set(rows) == wanted
+
+
+def test_small_ranges_of_a_file_are_neighbours(spark, folder):
+    cut = chunks.ranges(chunks.written_listing(spark, str(folder)), 7)
+    placed = chunks._dealt(cut).withColumn("task", F.spark_partition_id())
+    tasks = placed.groupBy("path").agg(F.count_distinct("task").alias("n"), F.count("*").alias("rows"))
+    assert tasks.filter("rows > 10").count() and not tasks.filter("n > 1").count()
+
+
+def test_books_are_written_from_small_batches(spark, monkeypatch):
+    sizes = []
+    session = book_files.session_with
+    monkeypatch.setattr(book_files, "session_with", lambda s, c: sizes.append(c) or session(s, c))
+    book_files.write_books(spark, "/root/testdata/sf0.001")
+    assert [int(v) for c in sizes for v in c.values()] == [book_files.BATCH_ROWS]

@@ -73,9 +73,16 @@ def content_terms(content: Column, stop_words: Sequence[str], min_length: int =
     Equal to ``without_stop_words(tokens(clean_text(content)))``: what is left
     between non-letters of the lower-cased text is the token.
     """
-    listed = [word.lower() for word in stop_words]
-    runs = F.split(F.lower(content), "[^a-z]+")
-    return F.filter(runs, lambda t: (F.length(t) >= min_length) & ~t.isin(listed))
+    return F.filter(letter_runs(content), lambda t: is_term(t, stop_words, min_length))
+
+
+def letter_runs(content: Column) -> Column:
+    """What is left between non-letters of the lower-cased text, '' at an end among it."""
+    return F.split(F.lower(content), "[^a-z]+")
+
+
+def is_term(run: Column, stop_words: Sequence[str], min_length: int = 2) -> Column:
+    return (F.length(run) >= min_length) & ~run.isin([word.lower() for word in stop_words])
 
 
 def term_counts(term_array: Column) -> Column:

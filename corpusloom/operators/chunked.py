@@ -102,11 +102,12 @@ def book_terms(
     end = F.when(F.col("start") == F.col("to_start"), F.col("to_place")).otherwise(F.length("text") + 1)
     content = F.substring(F.col("text"), begin, F.greatest(end - begin, F.lit(0)))
     chunks = read_ranges(wanted, folder, stop=True).withColumn("text", text)
-    terms = t.content_terms(content, stop_words)
+    # a book's chunks are mostly in one task, which adds them up before the shuffle
     return (
-        chunks.select("file_name", F.inline(t.term_counts(terms)))
+        chunks.select("file_name", F.explode(t.letter_runs(content)).alias("term"))
+        .filter(t.is_term(F.col("term"), stop_words))
         .groupBy("file_name", "term")
-        .agg(F.sum("tf").alias("tf"))
+        .agg(F.count("*").alias("tf"))
     )
 
 

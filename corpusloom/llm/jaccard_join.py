@@ -16,7 +16,7 @@ already in one component are not compared again. What remains are mostly documen
 too far to be linked: each outside a list's largest component is held against the others
 of that list by parity bitmaps. An element in one of two sets flips one bit, so bitmaps
 that differ in more bits than linked sets do in elements rule a pair out where the lists
-are joined. So components are those of all links, and no link between two components is
+are joined; large sets, which fill a bitmap, have a wider one as well. So components are those of all links, and no link between two components is
 passed over.
 
 Shingles are compared by 64-bit hashes.
@@ -47,13 +47,15 @@ SKETCH_PIECES = 16
 OFTEN = 16
 MAX_ROUNDS = 8
 PAIRS_PER_ROW = 4
-# Pivots of an open list from the second round on, and the last round: the one that links
-# fewer than one in so many documents outside the largest components.
+# Pivots of an open list from the second round on, and those a document is held against in
+# a round. Rounds end with one that finds fewer than one link in so many of the first.
 PIVOTS = 4
-WORTH = 20
+WORTH = 500
 MAX_BROADCAST = 500_000
-# Words of 64 bits in a parity bitmap.
+# Words of 64 bits in a parity bitmap, and in the second one that sets have which are as
+# large as the first has bits.
 WORDS = 16
+WIDE_WORDS = 64
 BITMAP = [f"w{i}" for i in range(WORDS)]
 
 
@@ -158,8 +160,8 @@ def _chosen(short: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _short_lists(docs: DataFrame, often: np.ndarray, n: int, percent: int) -> DataFrame:
-    """``(doc_id, n, short, many, bits)``: hashes of a document's short lists, those of
-    common cells in ``many``, and the parity bitmap of its set."""
+    """``(doc_id, n, short, many, bits, wide)``: hashes of a document's short lists, those of
+    common cells in ``many``, and the parity bitmaps of its set."""
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(often))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -174,17 +176,20 @@ def _short_lists(docs: DataFrame, often: np.ndarray, n: int, percent: int) -> Da
                 size = len(found) - least_overlap(len(found), percent) + 1
                 short = found[~late][:size]
                 many = found[late][: size - len(short)]
-                rows.append((doc_id, len(found), short.view("i8"), many.view("i8"), _bitmap(found)))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "short", "many", "bits"])
+                wide = _bitmap(found, WIDE_WORDS) if len(found) >= 64 * WORDS else None
+                lists = short.view("i8"), many.view("i8")
+                rows.append((doc_id, len(found), *lists, _bitmap(found, WORDS), wide))
+            yield pd.DataFrame(rows, columns=["doc_id", "n", "short", "many", "bits", "wide"])
 
-    schema = "doc_id BIGINT, n BIGINT, short ARRAY<BIGINT>, many ARRAY<BIGINT>, bits ARRAY<BIGINT>"
+    schema = "doc_id BIGINT, n BIGINT, short ARRAY<BIGINT>, many ARRAY<BIGINT>"
+    schema += ", bits ARRAY<BIGINT>, wide ARRAY<BIGINT>"
     return docs.mapInPandas(run, schema)
 
 
-def _bitmap(found: np.ndarray) -> np.ndarray:
+def _bitmap(found: np.ndarray, words: int) -> np.ndarray:
     """For each bit whether an odd number of elements fall on it."""
-    bits = (found & np.uint64(64 * WORDS - 1)).astype("i8")
-    odd = (np.bincount(bits, minlength=64 * WORDS) & 1).astype(bool)
+    bits = (found & np.uint64(64 * words - 1)).astype("i8")
+    odd = (np.bincount(bits, minlength=64 * words) & 1).astype(bool)
     return np.packbits(odd).view("i8")
 
 
@@ -278,9 +283,10 @@ def _open_lists(rows: DataFrame) -> DataFrame:
     return rows.join(kept, "hash")
 
 
-def _pivot_pairs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
-    """For each document the pivot of another component that it meets most often, if
-    that could be enough; it meets a pivot only on lists where it is the pivot."""
+def _pivot_pairs(rows: DataFrame, bitmaps: DataFrame, round_: int, percent: int) -> DataFrame:
+    """For each document the pivots of other components that it meets most often, of
+    those that could be enough and that bitmaps do not rule out; it meets a pivot only
+    on lists where it is the pivot."""
     seeds = range(PIVOTS * round_, PIVOTS * (round_ + 1))
     orders = [F.xxhash64("id", F.lit(s)) for s in seeds] if round_ else [F.col("id")]
     firsts = [F.min(F.struct(o.alias("order"), "id", "n", "component")) for o in orders]
@@ -298,8 +304,14 @@ def _pivot_pairs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
     )
     met = members.join(pivots, "hash").filter((F.col("of_a") != F.col("component")) & _pair_filter(percent))
     counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.sum("weight").alias("times"))
-    best = counted.filter(_enough(F.col("times"), percent)).groupBy("b").agg(F.max(F.struct("times", (-F.col("a")).alias("less"))).alias("top"))
-    return best.select((-F.col("top.less")).alias("a"), "b")
+    close = counted.filter(_enough(F.col("times"), percent))
+    for end in ("a", "b"):
+        bits = [F.col(w).alias(f"{w}_{end}") for w in (*BITMAP, "wide")]
+        close = close.join(bitmaps.select(F.col("id").alias(end), *bits), end)
+    top = F.struct("times", (-F.col("a")).alias("less"))
+    best = close.filter(_alike(percent)).groupBy("b").agg(F.sort_array(F.collect_list(top), False).alias("top"))
+    each = best.select("b", F.explode(F.slice("top", 1, PIVOTS)).alias("top"))
+    return each.select((-F.col("top.less")).alias("a"), "b")
 
 
 def _all_pairs(rows: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
@@ -311,7 +323,7 @@ def _all_pairs(rows: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
 
     def side(x: str) -> list:
         names = {"id": x, "n": f"n_{x}", "component": f"of_{x}", "open": f"open_{x}"}
-        names |= {w: f"{w}_{x}" for w in BITMAP}
+        names |= {w: f"{w}_{x}" for w in (*BITMAP, "wide")}
         return [F.col(c).alias(name) for c, name in names.items()]
 
     in_largest = F.col("component") == F.col("largest")
@@ -348,7 +360,11 @@ def _needed(percent: int):
 def _alike(percent: int):
     """Whether the bitmaps differ in no more bits than linked sets do in elements."""
     differ = reduce(add, [F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in BITMAP])
-    return differ <= F.col("n_a") + F.col("n_b") - 2 * _needed(percent)
+    most = F.col("n_a") + F.col("n_b") - 2 * _needed(percent)
+    each = F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    # looked at only where the first bitmaps, which a large set fills, rule nothing out
+    wide = F.coalesce(F.aggregate(each, F.lit(0), add) <= most, F.lit(True))
+    return F.when(differ <= most, wide).otherwise(False)
 
 
 def _enough(times: Column, percent: int) -> Column:
@@ -400,36 +416,35 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = N) -> Data
     lists = materialize(_weighted(lists), "lists")
 
     words = [F.col("bits")[i].alias(w) for i, w in enumerate(BITMAP)]
-    bitmaps = short.select(F.col("doc_id").alias("id"), *words).dropDuplicates(["id"])
+    bitmaps = short.select(F.col("doc_id").alias("id"), *words, "wide").dropDuplicates(["id"])
 
-    found, exact = None, False
+    found, exact, n_first = None, False, 0
     for round_ in range(MAX_ROUNDS + 1):
         open_rows = materialize(_open_lists(_placed(lists, found)), "open-lists")
         outside = open_rows.filter(F.col("component") != F.col("largest"))
-        left, work, documents = outside.agg(
-            F.count("*"), F.sum("size"), F.count_distinct("id")
-        ).first()
+        left, work = outside.agg(F.count("*"), F.sum("size")).first()
         if not left:
             break
         if round_ == 0:
-            pairs = _pivot_pairs(open_rows, round_, percent)
+            pairs = _pivot_pairs(open_rows, bitmaps, round_, percent)
         else:
             exact = exact or work <= PAIRS_PER_ROW * left or round_ == MAX_ROUNDS
             pairs = (
                 _all_pairs(open_rows, bitmaps, percent)
                 if exact
-                else _pivot_pairs(open_rows, round_, percent)
+                else _pivot_pairs(open_rows, bitmaps, round_, percent)
             )
         pairs = materialize(pairs, "pairs")
         ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         sets = materialize(_sets(whole, materialize(ends, "ends"), n), "sets")
         new = materialize(_verified(pairs, sets, percent), "links")
         n_new = new.count()
+        n_first = n_first if round_ else n_new
         if n_new:
             found = materialize(_joined(found, new), "components")
         if exact:
             break
-        exact = n_new * WORTH < documents
+        exact = n_new * WORTH < n_first
 
     named = classes.withColumnRenamed("class_id", "id")
     if found is not None:

@@ -71,3 +71,30 @@ def test_induced_suffixes_are_sorted(symbols):
         raw = text.tobytes()
         wanted = sorted(range(len(raw)), key=lambda i: raw[i:])
         assert suffix_dedup.suffix_array(text, len(text)).tolist() == wanted
+
+
+def test_wide_bitmaps_rule_out_large_sets(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from corpusloom.llm import jaccard_join as j
+
+    rng = np.random.default_rng(5)
+
+    def row(found):
+        wide = j._bitmap(found, j.WIDE_WORDS)
+        narrow = j._bitmap(found, j.WORDS)
+        assert (np.bitwise_xor.reduce(wide.reshape(-1, j.WORDS)) == narrow).all()
+        return [len(found), *narrow.tolist(), wide.tolist()]
+
+    one, other = (np.unique(rng.integers(0, 2**63, 4000, dtype="u8")) for _ in range(2))
+    near = np.unique(np.concatenate([one[400:], other[:400]]))
+    names = ["n", *j.BITMAP, "wide"]
+    kinds = ["bigint"] * (1 + j.WORDS) + ["array<bigint>"]
+    schema = ", ".join(f"{n}_{x} {k}" for x in "ab" for n, k in zip(names, kinds, strict=True))
+    rows = [tuple(row(one) + row(x)) for x in (one, near, other)]
+    pairs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"i int, {schema}")
+    assert {r["i"] for r in pairs.filter(j._alike(80)).select("i").collect()} == {0, 1}
+    # one of the two too small for a wide one: only the narrow bitmaps count
+    none = pairs.withColumn("wide_b", F.lit(None).cast("array<bigint>"))
+    assert none.filter(j._alike(80)).count() == 3

@@ -50,7 +50,7 @@ PAIRS_PER_ROW = 4
 # Pivots of an open list from the second round on, and those a document is held against in
 # a round. Rounds end with one that finds fewer than one link in so many of the first.
 PIVOTS = 4
-WORTH = 500
+WORTH = 20
 MAX_BROADCAST = 500_000
 # Words of 64 bits in a parity bitmap, and in the second one that sets have which are as
 # large as the first has bits.

@@ -1,5 +1,8 @@
 """Bytes that repeat an earlier document, by suffix arrays over shared passages.
 
+Of equal texts the one with the smallest identifier has every window first, so the others
+are repeats from end to end, and only that one is compared with other texts.
+
 Every window of 50 bytes has an anchor, the 20-byte string in it whose hash is least, so
 equal windows have equal anchors. Anchors that occur in one document only are out; a
 filter of fixed size, built on the executors from sorted runs of cut hashes, tells which
@@ -46,8 +49,10 @@ SLICE = 50_000
 # Anchors with more contexts than this are compared window by window, by shuffle.
 MANY = 5_000
 CHUNK = 300_000
-# Runs of removed bytes are broadcast up to this number, 16 bytes each.
+# Runs of removed bytes are broadcast up to this number, 16 bytes each; identifiers too.
 MAX_BROADCAST = 2_000_000
+# A run of removed bytes is one number: where it begins, and in so many low bits its end.
+END_BITS = 32
 
 
 def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,6 +93,33 @@ def _bucket_bits(spark: SparkSession) -> int:
     return min(max(8, (shuffle_partitions(spark) - 1).bit_length()), 20)
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """``(doc_id, size)`` of rows whose whole text an earlier document has."""
+    text = F.col("text")
+    size = F.octet_length(text).alias("size")
+    held = rows.select("doc_id", size, F.unhex(F.sha2(text, 256)).alias("digest"))
+    held = materialize(held.filter(F.col("size") >= WINDOW), "digests")
+    groups = held.groupBy("digest").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")
+    )
+    groups = materialize(groups.filter("first < last"), "groups")
+    met = join_by_share(held, groups, ["digest"], "n", held.count())
+    # rows that repeat an identifier may differ in text, so none of them stands for the others
+    single = held.groupBy("doc_id").count().filter(F.col("count") == 1)
+    later = met.filter(F.col("doc_id") > F.col("first")).join(single, "doc_id", "left_semi")
+    return materialize(later.select("doc_id", "size"), "copies")
+
+
+def _without(rows: DataFrame, copies: DataFrame) -> DataFrame:
+    """``rows`` without the copies, or without a share of them if they are too many to
+    broadcast; what is left of them is compared like any other text."""
+    share = -(-copies.count() // MAX_BROADCAST)
+    ids = copies.select("doc_id")
+    if share > 1:
+        ids = ids.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
+    return rows.join(F.broadcast(ids), "doc_id", "left_anti")
+
+
 def _sorted_runs(rows: DataFrame, bits: int) -> DataFrame:
     """``(bucket, codes)``: a task's codes by their first ``bits``, sorted, as compressed
     differences. A code that two documents of a run have is there twice."""
@@ -172,7 +204,8 @@ def _filter(shared: DataFrame) -> np.ndarray:
 
 
 def _occurrences(rows: DataFrame, bits: np.ndarray) -> DataFrame:
-    """``(gram, context_id, doc_id, start, windows, context)`` of anchors that pass."""
+    """``(gram, context_id, doc_id, start, windows, context)`` of anchors that pass. Of equal
+    contexts of a batch only one has its bytes."""
     shared = rows.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -193,6 +226,7 @@ def _occurrences(rows: DataFrame, bits: np.ndarray) -> DataFrame:
             frame = pd.DataFrame(dict(zip(names, np.concatenate(held, axis=1), strict=True)))
             ids = np.array([xxhash.xxh64_intdigest(c) for c in contexts], "u8").view("i8")
             frame = frame.assign(context_id=ids, context=pd.Series(contexts, dtype=object))
+            frame.loc[frame.duplicated(["gram", "context_id"]), "context"] = None
             # a batch of long texts makes many rows, which leave in slices
             for i in range(0, len(frame), SLICE):
                 yield frame.iloc[i : i + SLICE]
@@ -353,6 +387,8 @@ def _by_window(contexts: DataFrame) -> DataFrame:
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """``(doc_id, begins, ends)``: the bytes that an earlier document has, as runs."""
+    copies = _copies(rows)
+    rows = _without(rows, copies)
     found = materialize(_occurrences(rows, _shared_codes(rows)), "occurrences")
     key = ["gram", "context_id"]
     contexts = found.groupBy(*key).agg(
@@ -379,8 +415,8 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     met = join_by_share(narrow, lookup, key, "n", found.count()).filter("n is not null")
 
     def span(begin: Column, windows: Column) -> Column:
-        end = begin + windows + (WINDOW - 1)
-        return F.struct(begin.alias("begin"), end.cast("bigint").alias("end"))
+        end = (begin + windows + (WINDOW - 1)).cast("bigint")
+        return F.shiftleft(begin.cast("bigint"), END_BITS).bitwiseOR(end)
 
     every = F.sequence(F.lit(0), F.col("windows") - 1)
     later = F.filter(every, lambda j: F.get("firsts", j) < F.col("doc_id"))
@@ -389,8 +425,10 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         F.transform(later, lambda j: span(F.col("start") + j, F.lit(1)))
     )
     spans = met.select("doc_id", spans.alias("spans")).filter(F.size("spans") > 0)
+    all_of = F.array(span(F.lit(0), F.col("size") - (WINDOW - 1)))
+    spans = spans.unionByName(copies.select("doc_id", all_of.alias("spans")))
     by_document = spans.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    return by_document.select("doc_id", "spans.begin", "spans.end").mapInPandas(
+    return by_document.mapInPandas(
         _merged, "doc_id BIGINT, begins ARRAY<BIGINT>, ends ARRAY<BIGINT>"
     )
 
@@ -398,9 +436,10 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
 def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for doc_id, begin, end in zip(batch["doc_id"], batch["begin"], batch["end"], strict=True):
-            order = np.argsort(begin, kind="stable")
-            begins, reach = np.asarray(begin)[order], np.maximum.accumulate(np.asarray(end)[order])
+        for doc_id, spans in zip(batch["doc_id"], batch["spans"], strict=True):
+            spans = np.sort(np.asarray(spans, "i8"))
+            begins = spans >> END_BITS
+            reach = np.maximum.accumulate(spans & ((1 << END_BITS) - 1))
             new = np.append(True, begins[1:] > reach[:-1])
             out.append((doc_id, begins[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(reach) - 1)]))
         yield pd.DataFrame(out, columns=["doc_id", "begins", "ends"])

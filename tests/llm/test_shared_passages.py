@@ -98,3 +98,71 @@ def test_wide_bitmaps_rule_out_large_sets(spark):
     # one of the two too small for a wide one: only the narrow bitmaps count
     none = pairs.withColumn("wide_b", F.lit(None).cast("array<bigint>"))
     assert none.filter(j._alike(80)).count() == 3
+
+
+def _copied_rows():
+    """Copies of whole texts, earlier and later than texts that share a part of them."""
+    a, b, c = (DOCUMENTS[i][1] for i in (0, 6, 12))
+    texts = [a, b, a, a + " end", "short", "short", "é" * 60, a, c, c, "x " + b, "é" * 60, b, ""]
+    return [(3 * i + 2**54, t) for i, t in enumerate(texts)]
+
+
+def _kept(rows):
+    """Bytes removed, runs and bytes kept of each text, by sets of windows."""
+    found, seen = {}, set()
+    for doc_id, text in sorted(rows):
+        raw = text.encode()
+        windows = [raw[k : k + 50] for k in range(len(raw) - 49)]
+        gone = {k + j for k, w in enumerate(windows) if w in seen for j in range(50)}
+        seen.update(windows)
+        kept = bytes(b for k, b in enumerate(raw) if k not in gone)
+        found[doc_id] = (len(gone), sum(k - 1 not in gone for k in gone), kept)
+    return found
+
+
+def _removed(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    found = suffix_dedup.suffix_dedup(docs).collect()
+    return [(r["doc_id"], (r["n_removed"], r["n_spans"], bytes(r["kept"]))) for r in found]
+
+
+@pytest.mark.parametrize("most", [suffix_dedup.MAX_BROADCAST, 2])
+def test_copies_of_a_text_are_not_compared(spark, monkeypatch, most):
+    rows, written = _copied_rows(), {}
+
+    def keep(df, label, write=suffix_dedup.materialize):
+        written[label] = write(df, label)
+        return written[label]
+
+    monkeypatch.setattr(suffix_dedup, "materialize", keep)
+    monkeypatch.setattr(suffix_dedup, "MAX_BROADCAST", most)
+    assert dict(_removed(spark, rows)) == _kept(rows)
+    first = {}
+    for doc_id, text in rows:
+        first.setdefault(text, doc_id)
+    compared = {r["doc_id"] for r in written["occurrences"].select("doc_id").distinct().collect()}
+    if most > len(rows):
+        assert compared and compared <= set(first.values())
+    else:  # some copies are, if there are too many
+        assert compared < {i for i, _ in rows}
+
+
+def test_a_context_is_written_once_in_a_batch(spark):
+    passage = DOCUMENTS[0][1]
+    docs = spark.createDataFrame([(1, passage + " a"), (2, passage + " b")], "doc_id BIGINT, text STRING")
+    rows = docs.coalesce(1)
+    found = suffix_dedup._occurrences(rows, suffix_dedup._shared_codes(rows)).collect()
+    with_bytes = [(r["gram"], r["context_id"]) for r in found if r["context"] is not None]
+    assert len(found) > 1.8 * len(with_bytes)
+    assert sorted(with_bytes) == sorted({(r["gram"], r["context_id"]) for r in found})
+
+
+def test_rows_that_repeat_an_identifier_count_as_before(spark):
+    a, b = DOCUMENTS[0][1], DOCUMENTS[6][1]
+    # a row with the text of an earlier one and another text under the same identifier
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, a), (4, a), (None, b)]
+    found = sorted(_removed(spark, rows), key=str)
+    size_a, size_b = len(a.encode()), len(b.encode())
+    whole = {i: n for i, (n, _, _) in found if i in (3, 4)}
+    assert whole == {3: size_b, 4: size_a}
+    assert [kept for i, (_, _, kept) in found if i in (1, None)] == [a.encode(), b.encode()]

@@ -5,8 +5,8 @@ are repeats from end to end, and only that one is compared with other texts.
 
 Every window of 50 bytes has an anchor, the 20-byte string in it whose hash is least, so
 equal windows have equal anchors. Anchors that occur in one document only are out; a
-filter of fixed size, built on the executors from sorted runs of cut hashes, tells which
-may occur in more. For those, the text of the windows that share the anchor is the
+filter that grows with the texts up to a bound, built on the executors from sorted runs of
+cut hashes, tells which may occur in more. For those, the text of the windows that share the anchor is the
 context of the occurrence, 50 to 80 bytes. Equal contexts are one from there on, with
 their smallest document; their bytes move only where an anchor has several.
 
@@ -39,8 +39,12 @@ from corpusloom.workspace import materialize
 
 WINDOW = 50
 GRAM = 20
+# A filter has 2 to this power cells, up to the second if there is much to tell apart, and
+# sets so many of them for a hash.
 FILTER_BITS = 27
-PIECES = 64
+MOST_BITS = 30
+CELLS = 3
+PIECE_BITS = 6
 # Anchors are told apart by so many bits where they are counted, in runs of so many.
 CODE_BITS = 40
 RUN = 4_000_000
@@ -93,12 +97,16 @@ def _bucket_bits(spark: SparkSession) -> int:
     return min(max(8, (shuffle_partitions(spark) - 1).bit_length()), 20)
 
 
-def _copies(rows: DataFrame) -> DataFrame:
-    """``(doc_id, size)`` of rows whose whole text an earlier document has."""
+def _digests(rows: DataFrame) -> DataFrame:
+    """``(doc_id, size, digest)`` of texts with a window."""
     text = F.col("text")
     size = F.octet_length(text).alias("size")
     held = rows.select("doc_id", size, F.unhex(F.sha2(text, 256)).alias("digest"))
-    held = materialize(held.filter(F.col("size") >= WINDOW), "digests")
+    return materialize(held.filter(F.col("size") >= WINDOW), "digests")
+
+
+def _copies(held: DataFrame) -> DataFrame:
+    """``(doc_id, size)`` of rows whose whole text an earlier document has."""
     groups = held.groupBy("digest").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")
     )
@@ -152,61 +160,85 @@ def _sorted_runs(rows: DataFrame, bits: int) -> DataFrame:
     return rows.mapInPandas(run, "bucket INT, codes BINARY")
 
 
-def _shared_codes(rows: DataFrame) -> np.ndarray:
-    """One bit for the first bits of a code, set if two documents may have the code."""
+def _filter_bits(cells: int) -> int:
+    return min(max(FILTER_BITS, (cells - 1).bit_length()), MOST_BITS)
+
+
+def _cells(hashes: np.ndarray, parts: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """The cells of each hash, all in its part of ``1 << width`` cells."""
+    spread, base = mixed(hashes), parts.astype("i8") << width
+    for j in range(CELLS):
+        place = (spread >> np.uint64(21 * j)) & np.uint64((1 << width) - 1)
+        yield base + place.astype("i8")
+
+
+def _marked(hashes: np.ndarray, width: int) -> bytes:
+    """The part of a filter that holds ``hashes``."""
+    marks = np.zeros(1 << width, bool)
+    for cells in _cells(hashes, np.zeros(len(hashes), "i8"), width):
+        marks[cells] = True
+    return zlib.compress(np.packbits(marks).tobytes(), 1)
+
+
+def _whole(marked: DataFrame, part_bits: int, width: int) -> np.ndarray:
+    """The filter of all ``(part, bits)``."""
+    found = np.zeros((1 << part_bits, (1 << width) // 8), "u1")
+    for row in marked.collect():  # of a bounded size
+        found[row["part"]] = np.frombuffer(zlib.decompress(row["bits"]), "u1")
+    return found.reshape(-1)
+
+
+def _held(bits: np.ndarray, hashes: np.ndarray, parts: np.ndarray, part_bits: int) -> np.ndarray:
+    """Places of the hashes that the filter may hold."""
+    width = (len(bits) * 8).bit_length() - 1 - part_bits
+    found = np.arange(len(hashes))
+    for cells in _cells(hashes, parts, width):
+        at = cells[found]
+        found = found[(bits[at >> 3] >> (7 - (at & 7)).astype("u1")) & 1 == 1]
+    return found
+
+
+def _code_parts(codes: np.ndarray, bits: int) -> np.ndarray:
+    return codes >> np.uint64(CODE_BITS - bits)
+
+
+def _shared_codes(rows: DataFrame, cells: int = 1) -> np.ndarray:
+    """A filter of the codes that two documents have, of ``cells`` cells within its bounds."""
     bits = _bucket_bits(rows.sparkSession)
-    size = 1 << (FILTER_BITS - bits)
+    width = _filter_bits(cells) - bits
 
     def mark(key: tuple, held: pd.DataFrame) -> pd.DataFrame:
         runs = []
         for packed in held["codes"]:
             planes = np.frombuffer(zlib.decompress(packed), "u1").reshape(4, -1)
             runs.append(np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype="u8"))
-        codes = np.sort(np.concatenate(runs))
-        cells = codes[1:][codes[1:] == codes[:-1]] >> np.uint64(CODE_BITS - FILTER_BITS)
-        marks = np.zeros(size, bool)
-        marks[cells.astype("i8")] = True
-        return pd.DataFrame(
-            [(key[0], zlib.compress(np.packbits(marks).tobytes(), 1))], columns=["bucket", "bits"]
-        )
-
-    marked = _sorted_runs(rows, bits).groupBy("bucket").applyInPandas(mark, "bucket INT, bits BINARY")
-    found = np.zeros((1 << bits, size // 8), "u1")
-    for row in marked.collect():  # of a fixed size
-        found[row["bucket"]] = np.frombuffer(zlib.decompress(row["bits"]), "u1")
-    return found.reshape(-1)
-
+        # a run holds what is past the first code of its bucket
+        codes = np.sort(np.concatenate(runs)) + (np.uint64(key[0]) << np.uint64(CODE_BITS - bits))
+        shared = codes[1:][codes[1:] == codes[:-1]]
+        return pd.DataFrame([(key[0], _marked(shared, width))], columns=["part", "bits"])
 
-def _is_set(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    places = cells.astype("i8")
-    return (bits[places >> 3] >> (7 - (places & 7)).astype("u1")) & 1 == 1
+    marked = _sorted_runs(rows, bits).groupBy("bucket").applyInPandas(mark, "part INT, bits BINARY")
+    return _whole(marked, bits, width)
 
 
-def _filter(shared: DataFrame) -> np.ndarray:
-    """One bit for each value of the low bits of the ``gram`` of a row."""
-    width = (1 << FILTER_BITS) // PIECES
+def _filter(shared: DataFrame, cells: int = 1) -> np.ndarray:
+    """A filter of the grams of ``shared``, of ``cells`` cells within its bounds."""
+    width = _filter_bits(cells) - PIECE_BITS
 
     def mark(key: tuple, held: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(width, bool)
-        bits[held["cell"].to_numpy()] = True
-        packed = zlib.compress(np.packbits(bits).tobytes(), 1)
-        return pd.DataFrame([(key[0], packed)], columns=["piece", "bits"])
-
-    low = F.pmod(F.col("gram"), F.lit(1 << FILTER_BITS))
-    cells = shared.select(
-        F.floor(low / width).cast("int").alias("piece"), (low % width).cast("int").alias("cell")
-    ).distinct()
-    marked = cells.groupBy("piece").applyInPandas(mark, "piece INT, bits BINARY")
-    found = np.zeros((PIECES, width // 8), "u1")
-    for row in marked.collect():  # of a fixed size
-        found[row["piece"]] = np.frombuffer(zlib.decompress(row["bits"]), "u1")
-    return found.reshape(-1)
+        bits = _marked(held["gram"].to_numpy("i8").view("u8"), width)
+        return pd.DataFrame([(key[0], bits)], columns=["part", "bits"])
+
+    part = F.pmod(F.col("gram"), F.lit(1 << PIECE_BITS)).cast("int").alias("part")
+    marked = shared.select(part, "gram").groupBy("part").applyInPandas(mark, "part INT, bits BINARY")
+    return _whole(marked, PIECE_BITS, width)
 
 
 def _occurrences(rows: DataFrame, bits: np.ndarray) -> DataFrame:
     """``(gram, context_id, doc_id, start, windows, context)`` of anchors that pass. Of equal
     contexts of a batch only one has its bytes."""
     shared = rows.sparkSession.sparkContext.broadcast(bits)
+    part_bits = _bucket_bits(rows.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -217,8 +249,8 @@ def _occurrences(rows: DataFrame, bits: np.ndarray) -> DataFrame:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 whole = text.encode("utf-8")
                 grams, first, last = anchors(np.frombuffer(whole, "u1"))
-                cells = _codes(grams) >> np.uint64(CODE_BITS - FILTER_BITS)
-                passed = _is_set(shared.value, cells)
+                codes = _codes(grams)
+                passed = _held(shared.value, codes, _code_parts(codes, part_bits), part_bits)
                 grams, first, last = grams[passed], first[passed], last[passed]
                 held.append(np.stack([grams, np.full(len(grams), doc_id), first, last - first + 1]))
                 ends = (last + WINDOW).tolist()
@@ -243,8 +275,9 @@ def _with_context(found: DataFrame, bits: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            cells = batch["gram"].to_numpy() & ((1 << FILTER_BITS) - 1)
-            yield batch[_is_set(shared.value, cells)]
+            grams = batch["gram"].to_numpy("i8")
+            parts = grams & ((1 << PIECE_BITS) - 1)
+            yield batch.iloc[_held(shared.value, grams.view("u8"), parts, PIECE_BITS)]
 
     names = ["gram", "context_id", "doc_id", "context"]
     schema = "gram BIGINT, context_id BIGINT, doc_id BIGINT, context BINARY"
@@ -387,9 +420,12 @@ def _by_window(contexts: DataFrame) -> DataFrame:
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """``(doc_id, begins, ends)``: the bytes that an earlier document has, as runs."""
-    copies = _copies(rows)
+    digests = _digests(rows)
+    copies = _copies(digests)
     rows = _without(rows, copies)
-    found = materialize(_occurrences(rows, _shared_codes(rows)), "occurrences")
+    n_bytes = digests.agg(F.sum("size")).first()[0] or 0
+    n_anchors = 2 * n_bytes // (WINDOW - GRAM + 2)
+    found = materialize(_occurrences(rows, _shared_codes(rows, 2 * n_anchors)), "occurrences")
     key = ["gram", "context_id"]
     contexts = found.groupBy(*key).agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")
@@ -397,7 +433,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     contexts = materialize(contexts, "contexts")
     sizes = contexts.groupBy("gram").agg(F.count("*").alias("size")).filter("size > 1")
     sizes = materialize(sizes, "sizes")
-    several = materialize(_with_context(found, _filter(sizes)), "several")
+    several = materialize(_with_context(found, _filter(sizes, 16 * sizes.count())), "several")
     crowded = sizes.filter(F.col("size") > MANY).select("gram")
     n_crowded = crowded.count()
     if n_crowded:

@@ -166,3 +166,33 @@ def test_rows_that_repeat_an_identifier_count_as_before(spark):
     whole = {i: n for i, (n, _, _) in found if i in (3, 4)}
     assert whole == {3: size_b, 4: size_a}
     assert [kept for i, (_, _, kept) in found if i in (1, None)] == [a.encode(), b.encode()]
+
+
+@pytest.mark.parametrize("most", [30, 11])
+def test_filters_grow_with_the_texts(spark, monkeypatch, most):
+    written = {}
+
+    def keep(df, label, write=suffix_dedup.materialize):
+        written[label] = write(df, label)
+        return written[label]
+
+    monkeypatch.setattr(suffix_dedup, "materialize", keep)
+    monkeypatch.setattr(suffix_dedup, "FILTER_BITS", 11)
+    monkeypatch.setattr(suffix_dedup, "MOST_BITS", most, raising=False)
+    assert dict(_removed(spark, DOCUMENTS)) == _kept(DOCUMENTS)
+    if most > 11:  # a full filter lets others pass, and the result is the same
+        held = {}
+        for r in written["occurrences"].select("gram", "doc_id").collect():
+            held.setdefault(r["gram"], set()).add(r["doc_id"])
+        alone = sum(len(ids) == 1 for ids in held.values())
+        every = sum(len(suffix_dedup.anchors(suffix_dedup._bytes(t))[0]) for _, t in DOCUMENTS)
+        assert 100 * alone < every
+
+
+def test_filter_holds_what_was_put_in(spark):
+    grams = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 20_000)
+    shared = spark.createDataFrame([(int(g),) for g in grams[:2000]], "gram BIGINT")
+    bits = suffix_dedup._filter(shared)
+    parts = grams & ((1 << suffix_dedup.PIECE_BITS) - 1)
+    found = suffix_dedup._held(bits, grams.view("u8"), parts, suffix_dedup.PIECE_BITS)
+    assert found[:2000].tolist() == list(range(2000)) and len(found) == 2000
